@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from fieldsignal.operators.index import drop_nearest, nearest_known, with_row_index
+from fieldsignal.session import materialize
 from fieldsignal.spec import PHYSICAL_LIMITS, SENSOR_COLUMNS, SENTINELS, TARGET, SeriesSpec
 
 
@@ -189,15 +190,16 @@ def clean(
 ) -> DataFrame:
     """Deduplicate, void impossible readings, impute, keep rows with a target; indexed.
 
-    Averages are taken before sentinels are removed, and positions are numbered again
-    only if rows can drop out: a series loses rows only when its target is never known,
-    and then it loses all of them, so the first numbering stays valid.
+    Averages are taken before sentinels are removed. A series can only lose rows at the
+    end when its target is never known, and then it loses all of them, so the positions
+    stay valid. The indexed table is written once, since imputation reads it twice.
     """
     if target not in df.columns:
         raise KeyError(f"target column {target!r} is not in the table")
     merged = sanitize(deduplicate(df, spec, ingest_order))
     sensors = [c for c in SENSOR_COLUMNS if c in merged.columns]
-    return require_target(impute(with_row_index(merged, spec), spec, sensors, limit), target)
+    indexed = materialize(with_row_index(merged, spec))
+    return require_target(impute(indexed, spec, sensors, limit), target)
 
 
 def preprocess_single(df: DataFrame, spec: SeriesSpec, **options) -> DataFrame:

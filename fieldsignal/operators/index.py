@@ -67,7 +67,7 @@ def with_row_index(
     counts = cut.groupBy(*spec.keys, bucket).agg(F.count(F.lit(1)).alias("n"))
     offsets = running_counts(counts, spec.keys, bucket, widths).drop("n")
     if length:
-        totals = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias(length))
+        totals = counts.groupBy(*spec.keys).agg(F.sum("n").alias(length))
         offsets = offsets.join(totals, spec.keys)
     inside = Window.partitionBy(*spec.keys, bucket).orderBy(spec.time, *tie_break)
     position = F.row_number().over(inside) - 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,21 +24,29 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one only for local masters."""
+_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; local masters get one of their own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            _LOCAL_FOLDERS.append(tempfile.TemporaryDirectory(prefix="fieldsignal-"))
+            configured = _LOCAL_FOLDERS[-1].name
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldsignal-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return context.getCheckpointDir()
+
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise an iteration's state in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Used where a table feeds several branches or an iteration: lineage ends at a table
+    that survives lost executors, and readers still prune its columns.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -41,21 +41,22 @@ SYNONYMS = {
 READING_PARTS = ("temp", "humid", "earth", "soil")
 TIME_NAMES = ("date", "time", "communicate_at", "communicateat", "timestamp", "datetime")
 
-# One pattern and replacement per step, shared by the name and the column versions.
-_STEPS = ((r"([a-z0-9])([A-Z])", "1_2"), (r"[\s.-]+", "_"))
+# Shared by the name and the column versions of the rule.
+CASE_CHANGE = r"([a-z0-9])([A-Z])"
+SEPARATORS = r"[\s.-]+"
 
 
 def snake_case(name: str) -> str:
-    split = re.sub(_STEPS[0][0], r"\1_\2", str(name).strip())
-    joined = re.sub(_STEPS[1][0], "_", split).lower()
+    split = re.sub(CASE_CHANGE, r"\1_\2", str(name).strip())
+    joined = re.sub(SEPARATORS, "_", split).lower()
     return re.sub("_+", "_", joined).strip("_")
 
 
 def snake_case_column(text: Column) -> Column:
     """The same rule for names held as data."""
     trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    split = F.regexp_replace(trimmed, _STEPS[0][0], "$1_$2")
-    joined = F.lower(F.regexp_replace(split, _STEPS[1][0], "_"))
+    split = F.regexp_replace(trimmed, CASE_CHANGE, "$1_$2")
+    joined = F.lower(F.regexp_replace(split, SEPARATORS, "_"))
     return F.regexp_replace(F.regexp_replace(joined, "_+", "_"), "^_|_$", "")
 
 
