@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsignal.operators import advise, clean, evaluate, features, hampel, index, profile, split
+from fieldsignal.operators import (
+    advise, attribute, clean, decompose, evaluate, features, hampel, index, model, profile, reconstruct, split,
+)
 from fieldsignal.plans import datasets as base
 from fieldsignal.plans.datasets import READINGS, STATIONS
-from fieldsignal.sources import naming, tables
-from fieldsignal.spec import TARGET
+from fieldsignal.session import materialize, shared_folder
+from fieldsignal.sources import naming, sinks, tables
+from fieldsignal.spec import TARGET, SeriesSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +78,52 @@ def s7_provenance(spark, sf):
     return stacked.groupBy("source_year", "source_sheet").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+@query
+def s2_csv_sheets(spark, sf):
+    """The sheets written as CSV files, found by label and read back as text."""
+    folder = _folder(spark)
+    for early, label in ((True, "early"), (False, "late")):
+        for name, sheet in base.station_sheets(spark, sf, early).items():
+            sinks.write_csv(sheet, f"{folder}/data/raw/stations_{label}/{name}.csv")
+    first, second = tables.load_pair(spark, folder, ("early", "late"))
+    stacked = clean.standardize(first).unionByName(clean.standardize(second))
+    return stacked.select(
+        "station_id", "timestamp", F.col("event_id").cast("long").alias("event_id"), *STATION_SENSORS,
+        "source_sheet", "source_year",
+    )
+
+
+@query
+def s8_mirrored_channels(spark, sf):
+    """A test table without soil channels takes them from the air channels."""
+    path = f"{_folder(spark)}/abnormal_weather.parquet"
+    base.station_sheets(spark, sf, True)["weather"].write.parquet(path)
+    loaded = clean.standardize(tables.load_abnormal(spark, path))
+    return loaded.select("event_id", *STATION_SENSORS, "source_sheet", "source_year")
+
+
+@query
+def s10_series_sink(spark, sf):
+    """The clean table written by month and series, and read back."""
+    path = _folder(spark)
+    sinks.write_series(base.station_clean(spark, sf), path, STATIONS)
+    stored = spark.read.parquet(path)
+    return stored.select(*STATION_ROW, "timestamp", *STATION_SENSORS, F.col("month").cast("string").alias("month"))
+
+
+@query
+def s11_metrics_sink(spark, sf):
+    """The metrics of all splits written as JSON and read back."""
+    path = _folder(spark)
+    metrics = e3_all_splits(spark, sf)
+    sinks.write_metrics(metrics, path)
+    return spark.read.schema(metrics.schema).json(path)
+
+
 # --- typing, deduplication, imputation -----------------------------------------------
 
 
@@ -381,6 +431,93 @@ def h7_correction(spark, sf):
     return rounded(changed.select(*ROW, f"{TARGET}_correction"))
 
 
+# --- decomposition and reconstruction --------------------------------------------------
+
+
+@query
+def c1_extrema(spark, sf):
+    return decompose.extrema(base.indexed_readings(spark, sf), READINGS)
+
+
+@query
+def c2_envelopes(spark, sf):
+    return rounded(decompose.envelopes(base.indexed_readings(spark, sf), READINGS))
+
+
+@query
+def c3_sift_once(spark, sf):
+    return rounded(decompose.sift_once(base.indexed_readings(spark, sf), READINGS))
+
+
+LONG_BLOCKS = SeriesSpec()
+
+
+@query
+def c4_emd(spark, sf):
+    return decompose.emd(base.indexed_readings(spark, sf), LONG_BLOCKS)
+
+
+@query
+def c5_ceemdan(spark, sf):
+    return decompose.ceemdan(base.indexed_readings(spark, sf), LONG_BLOCKS)
+
+
+@query
+def c6_mode_columns(spark, sf):
+    df = base.indexed_readings(spark, sf)
+    modes = decompose.emd(df, LONG_BLOCKS, max_imfs=4)
+    return decompose.attach_modes(df, modes, LONG_BLOCKS, count=3)
+
+
+def _two_modes(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Readings and a two-part decomposition that needs no random numbers: one sift,
+    rounded, and what it leaves."""
+    df = base.indexed_readings(spark, sf)
+    sifted = rounded(decompose.sift_once(df, READINGS))
+    both = materialize(df.join(sifted, ROW))
+    mode = both.select(*ROW, F.lit(1).alias("component"), F.col("sifted").alias("value"))
+    rest = both.select(*ROW, F.lit(0).alias("component"), (F.col(TARGET) - F.col("sifted")).alias("value"))
+    return both.drop("sifted"), mode.unionByName(rest)
+
+
+def _statistics(spark, sf, significance: bool = False) -> DataFrame:
+    df, modes = _two_modes(spark, sf)
+    return reconstruct.mode_statistics(modes, df, READINGS, significance=significance)
+
+
+@query
+def r1_mode_statistics(spark, sf):
+    return _statistics(spark, sf)
+
+
+@query
+def r2_p_values(spark, sf):
+    return _statistics(spark, sf, significance=True)
+
+
+@query
+def r3_mode_selection(spark, sf):
+    # A higher bar for correlation, so that some modes fail it.
+    return reconstruct.select_modes(_statistics(spark, sf), 0.8, 60.0).select(
+        "series_id", "component_name", "selected", "reason"
+    )
+
+
+@query
+def r4_reconstruct(spark, sf):
+    df, modes = _two_modes(spark, sf)
+    chosen = reconstruct.select_modes(reconstruct.mode_statistics(modes, df, READINGS, significance=False), 0.8, 60.0)
+    return rounded(reconstruct.reconstruct(modes, chosen, READINGS))
+
+
+@query
+def r5_extracted_noise(spark, sf):
+    df, modes = _two_modes(spark, sf)
+    chosen = reconstruct.select_modes(reconstruct.mode_statistics(modes, df, READINGS, significance=False), 0.8, 60.0)
+    attached = reconstruct.attach_reconstruction(df, modes, chosen, READINGS)
+    return rounded(attached.select(*ROW, TARGET, f"{TARGET}_reconstructed", f"{TARGET}_extracted_noise"))
+
+
 # --- features ------------------------------------------------------------------------
 
 
@@ -530,6 +667,81 @@ def e6_residual_histogram(spark, sf):
     return rounded(evaluate.residual_histogram(rounded(_residuals(spark, sf), 2), ["split"]))
 
 
+# --- model and attribution -------------------------------------------------------------
+
+# Few shallow rounds: the queries show the operators, not the best forecast.
+QUICK = model.BoostingParams(rounds=10, depth=4, patience=4)
+
+
+def _fitted(spark, sf) -> tuple[model.Fitted, DataFrame]:
+    featured, names, label = features.build_features(base.indexed_readings(spark, sf).drop("event_id"), READINGS)
+    splits = materialize(split.chronological_split(featured, READINGS))
+    return model.train(splits, names, label, QUICK), splits
+
+
+@query
+def m2_forecast_quality(spark, sf):
+    """Boosted trees fitted on the train rows, judged on all three splits."""
+    fitted, splits = _fitted(spark, sf)
+    scored = model.predict(fitted.model, splits)
+    return evaluate.evaluate(scored, ["split"], features.lead_target_name(), "prediction")
+
+
+@query
+def m3_early_stopping(spark, sf):
+    """Validation error per round, and which rounds are kept."""
+    fitted, _ = _fitted(spark, sf)
+    curve = [(i + 1, float(e), i < fitted.best_rounds) for i, e in enumerate(fitted.validation_mse)]
+    return spark.createDataFrame(curve, "round int, validation_mse double, kept boolean")
+
+
+@query
+def m4_predict(spark, sf):
+    fitted, splits = _fitted(spark, sf)
+    return model.predict(fitted.model, splits).select(*ROW, "split", features.lead_target_name(), "prediction")
+
+
+@query
+def x1_sample(spark, sf):
+    return attribute.sample_rows(base.indexed_readings(spark, sf), READINGS).select(*ROW, TARGET)
+
+
+@query
+def x2_contributions(spark, sf):
+    """Shapley contributions of every test row."""
+    fitted, splits = _fitted(spark, sf)
+    return attribute.contributions(splits.where("split = 'test'"), fitted, READINGS)
+
+
+def _stand_in_contributions(spark, sf) -> DataFrame:
+    """A contribution table that plain SQL can rebuild: weighted distances to the lags."""
+    lagged = index.over_chunks(
+        base.indexed_readings(spark, sf), READINGS, 24, 0, lambda d, w: d.withColumns(features.target_lags(w))
+    ).where("row_idx >= 24")
+    names = [f"earth_humidity_lag_{k}h" for k in features.TARGET_LAGS]
+    weight = F.pow(F.lit(0.5), F.length("feature") % 3) * F.when(F.col("feature") < "earth_humidity_lag_2", 1.0).otherwise(0.5)
+    return lagged.unpivot([*ROW, TARGET], names, "feature", "value").withColumn(
+        "contribution", (F.col("value") - F.col(TARGET)) * weight
+    )
+
+
+@query
+def x3_importance(spark, sf):
+    return rounded(attribute.importance(_stand_in_contributions(spark, sf), 5), 6)
+
+
+@query
+def x4_local_explanation(spark, sf):
+    parts = _stand_in_contributions(spark, sf)
+    return rounded(attribute.explain_row(parts, READINGS, F.lit(True), top=4))
+
+
+@query
+def x5_summary_points(spark, sf):
+    points = attribute.summary_points(_stand_in_contributions(spark, sf), READINGS, 3)
+    return rounded(points)
+
+
 # --- advisories ----------------------------------------------------------------------
 
 

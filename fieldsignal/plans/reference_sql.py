@@ -242,6 +242,17 @@ SQL["s3_stack_sheets"] = with_(STACKED) + (
     + each("{c}::VARCHAR AS {c}")
     + ", source_sheet, source_year FROM stacked"
 )
+SQL["s2_csv_sheets"] = with_(STACKED) + (
+    f'SELECT station_id, "timestamp", event_id, {each("{c}")}, source_sheet, source_year FROM stacked'
+)
+SQL["s8_mirrored_channels"] = with_(STACKED) + (
+    "SELECT event_id, air_humidity AS earth_humidity, air_temperature AS earth_temperature, air_temperature, air_humidity, "
+    "precipitation, 'abnormal_weather' AS source_sheet, 'Abnormal_Test' AS source_year FROM stacked "
+    "WHERE source_sheet = 'weather' AND source_year = 'early'"
+)
+SQL["s10_series_sink"] = with_(*STATION_CLEAN) + (
+    f"SELECT station_id, row_idx, \"timestamp\", {each('{c}')}, strftime(\"timestamp\", '%Y-%m') AS month FROM clean"
+)
 SQL["s5_snake_case"] = r"""SELECT page_id, regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(
     regexp_replace(url, '^\s+|\s+$', '', 'g'), '([a-z0-9])([A-Z])', '\1_\2', 'g'), '[\s.-]+', '_', 'g')),
     '_+', '_', 'g'), '^_|_$', '', 'g') AS plain_name FROM pages"""
@@ -394,6 +405,62 @@ SQL["h7_correction"] = with_(*GAPPY_HAMPEL) + (
     "WHERE abs(earth_humidity - fixed) > 0"
 )
 
+TURNS = """steps AS (SELECT series_id, row_idx, earth_humidity AS v,
+    CASE WHEN earth_humidity IS DISTINCT FROM lag(earth_humidity) OVER (PARTITION BY series_id ORDER BY row_idx) THEN 1 ELSE 0 END AS brk
+  FROM indexed),
+flat AS (SELECT series_id, v, run, min(row_idx) AS a, max(row_idx) AS b
+  FROM (SELECT *, sum(brk) OVER (PARTITION BY series_id ORDER BY row_idx) AS run FROM steps) GROUP BY series_id, v, run),
+turns AS (SELECT series_id, (a + b) // 2 AS row_idx, v, lag(v) OVER (PARTITION BY series_id ORDER BY run) AS pv,
+    lead(v) OVER (PARTITION BY series_id ORDER BY run) AS nv FROM flat),
+ext AS (SELECT series_id, row_idx, 'peak' AS kind FROM turns WHERE pv < v AND nv < v
+  UNION ALL SELECT series_id, row_idx, 'trough' FROM turns WHERE pv > v AND nv > v)"""
+ENVELOPES = """pts AS (SELECT series_id, row_idx, earth_humidity AS v, p.kind IS NOT NULL AS is_peak, q.kind IS NOT NULL AS is_trough,
+    CASE WHEN p.kind IS NOT NULL OR row_idx IN (0, n - 1) THEN row_idx END AS pk,
+    CASE WHEN q.kind IS NOT NULL OR row_idx IN (0, n - 1) THEN row_idx END AS tr
+  FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM indexed)
+  LEFT JOIN (FROM ext WHERE kind = 'peak') p USING (series_id, row_idx)
+  LEFT JOIN (FROM ext WHERE kind = 'trough') q USING (series_id, row_idx)),
+""" + "near AS (SELECT *, " + ", ".join(
+    f"""last_value({k} IGNORE NULLS) OVER ({S} {BACK}) AS pi_{k},
+    last_value(CASE WHEN {k} IS NOT NULL THEN v END IGNORE NULLS) OVER ({S} {BACK}) AS pv_{k},
+    first_value({k} IGNORE NULLS) OVER ({S} {AHEAD}) AS ni_{k},
+    first_value(CASE WHEN {k} IS NOT NULL THEN v END IGNORE NULLS) OVER ({S} {AHEAD}) AS nv_{k}"""
+    for k in ("pk", "tr")
+) + " FROM pts),\nenv AS (SELECT series_id, row_idx, v, is_peak, is_trough, " + ", ".join(
+    f"CASE WHEN ni_{k} = pi_{k} THEN v ELSE pv_{k} + (nv_{k} - pv_{k}) / (ni_{k} - pi_{k}) * (row_idx - pi_{k}) END AS {n}"
+    for k, n in (("pk", "upper"), ("tr", "lower"))
+) + " FROM near)"
+SIFTED = """sifted AS (SELECT series_id, row_idx, v, round(CASE WHEN least(
+    count(*) FILTER (WHERE is_peak) OVER (PARTITION BY series_id),
+    count(*) FILTER (WHERE is_trough) OVER (PARTITION BY series_id)) >= 3 THEN v - (upper + lower) / 2 ELSE v END, 9) AS h FROM env)"""
+SIFT = (READINGS, INDEXED, TURNS, ENVELOPES, SIFTED)
+SQL["c1_extrema"] = with_(READINGS, INDEXED, TURNS) + "SELECT series_id, row_idx, kind FROM ext"
+SQL["c2_envelopes"] = with_(*SIFT[:4]) + (
+    'SELECT series_id, row_idx, round("upper", 9) AS "upper", round("lower", 9) AS "lower" FROM env'
+)
+SQL["c3_sift_once"] = with_(*SIFT) + "SELECT series_id, row_idx, h AS sifted FROM sifted"
+STATISTICS = """modes AS (SELECT series_id, row_idx, v, 1 AS component, h AS x FROM sifted
+  UNION ALL SELECT series_id, row_idx, v, 0, v - h FROM sifted),
+stats AS (SELECT series_id, component, CASE component WHEN 0 THEN 'Residue' ELSE 'IMF ' || component END AS component_name,
+    round(var_pop(x), 4) AS variance, round(stddev_pop(x), 4) AS std_dev, round(sum(x * x), 2) AS energy,
+    round(sum(x * x) / sum(sum(x * x)) OVER (PARTITION BY series_id) * 100, 2) AS energy_pct,
+    round(corr(x, v), 4) AS pearson_r FROM modes GROUP BY series_id, component),
+picked AS (SELECT *, component = 0 OR abs(pearson_r) >= 0.8 OR energy_pct >= 60 AS selected FROM stats),
+joined AS (SELECT series_id, row_idx, v, sum(x) FILTER (WHERE selected) AS recon
+  FROM modes JOIN picked USING (series_id, component) GROUP BY series_id, row_idx, v)"""
+RECON = (*SIFT, STATISTICS)
+SQL["r1_mode_statistics"] = with_(*RECON) + "SELECT * FROM stats"
+STRENGTH = (f"printf('%.3f', {half_up('abs(pearson_r)', 3)})", f"printf('%.1f', {half_up('energy_pct', 1)})")
+SQL["r3_mode_selection"] = with_(*RECON) + f"""SELECT series_id, component_name, selected,
+  CASE WHEN component = 0 THEN 'Residue Trend'
+    WHEN selected THEN '|r|=' || {STRENGTH[0]} || ' >= 0.8 or E%=' || {STRENGTH[1]} || '%'
+    ELSE 'High-frequency stochastic noise, |r|=' || {STRENGTH[0]} || ', E%=' || {STRENGTH[1]} || '%' END AS reason FROM picked"""
+SQL["r4_reconstruct"] = with_(*RECON) + "SELECT series_id, row_idx, round(recon, 9) AS reconstructed FROM joined"
+SQL["r5_extracted_noise"] = with_(*RECON) + (
+    "SELECT series_id, row_idx, v AS earth_humidity, round(recon, 9) AS earth_humidity_reconstructed, "
+    "round(v - recon, 9) AS earth_humidity_extracted_noise FROM joined"
+)
+
 SQL["f1_lead_target"] = with_(READINGS, INDEXED) + windows(LEAD, "indexed", "series_id")
 SQL["f2_hour_cycle"] = """SELECT event_id, round(sin(2 * pi() * hour(ts) / 24), 9) AS hour_sin,
   round(cos(2 * pi() * hour(ts) / 24), 9) AS hour_cos FROM events"""
@@ -430,6 +497,7 @@ SQL["e2_mape"] = with_(*READING_SPLITS) + f"SELECT series_id, split, {MAPE} FROM
 SQL["e3_all_splits"] = with_(*READING_SPLITS) + (
     f"SELECT split, count(*) AS n_rows, {METRICS}, {MAPE} FROM scored GROUP BY ALL"
 )
+SQL["s11_metrics_sink"] = SQL["e3_all_splits"]
 RESIDUALS = 'res AS (SELECT series_id, row_idx, "timestamp", split, prediction AS predicted, earth_humidity - prediction AS residual FROM scored)'
 SQL["e4_residuals"] = with_(*READING_SPLITS, RESIDUALS) + "SELECT * REPLACE (round(residual, 9) AS residual) FROM res"
 SQL["e5_residual_moments"] = with_(*READING_SPLITS, RESIDUALS) + (
@@ -445,6 +513,23 @@ SQL["e6_residual_histogram"] = with_(
 FROM (SELECT *, least(floor((r - lo) / (hi - lo) * 40), 39)::BIGINT AS bin FROM tidy JOIN ends USING (split))
 GROUP BY split, bin, lo, hi, n"""
 
+LAG_TABLE = "lagged_ AS (SELECT series_id, row_idx, earth_humidity, " + ", ".join(
+    f"lag(earth_humidity, {k}) OVER ({S}) AS earth_humidity_lag_{k}h" for k in (1, 2, 3, 6, 12, 24)
+) + """ FROM indexed),
+parts AS (SELECT series_id, row_idx, feature, value, (value - earth_humidity) * pow(0.5::DOUBLE, length(feature) % 3)
+    * CASE WHEN feature < 'earth_humidity_lag_2' THEN 1 ELSE 0.5::DOUBLE END AS contribution
+  FROM (UNPIVOT (FROM lagged_ WHERE row_idx >= 24) ON COLUMNS(c -> c LIKE 'earth_humidity_lag%') INTO NAME feature VALUE value)),
+important AS (SELECT feature, avg(abs(contribution)) AS importance,
+    row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank FROM parts GROUP BY 1)"""
+PARTS = (READINGS, INDEXED, LAG_TABLE)
+SQL["x3_importance"] = with_(*PARTS) + "SELECT feature, round(importance, 6) AS importance, rank FROM important WHERE rank <= 5"
+SQL["x4_local_explanation"] = with_(*PARTS) + """SELECT series_id, row_idx, least(place, 4) AS rank,
+  CASE WHEN count(*) > 1 THEN 'other' ELSE min(feature) END AS feature, round(sum(contribution), 9) AS contribution
+FROM (SELECT *, row_number() OVER (PARTITION BY series_id, row_idx ORDER BY abs(contribution) DESC, feature) AS place FROM parts)
+GROUP BY ALL"""
+SQL["x5_summary_points"] = with_(*PARTS) + """SELECT series_id, row_idx, feature, rank, value, round(contribution, 9) AS contribution
+FROM parts JOIN important USING (feature) WHERE rank <= 3"""
+
 NEED = f"need AS (SELECT *, user_id / 10 AS rain, {rule('value', 'user_id / 10')} AS rule FROM events)"
 SQL["a1_need"] = with_(NEED) + (
     f"SELECT event_id, round(value, 2) AS predicted_moisture, {STATUS}, {RECOMMENDATION}, {URGENCY} FROM need"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +26,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
-_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+_KEPT_FOLDERS: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,8 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
         if configured is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            _LOCAL_FOLDERS.append(tempfile.TemporaryDirectory(prefix="fieldsignal-"))
-            configured = _LOCAL_FOLDERS[-1].name
+            _KEPT_FOLDERS.append(tempfile.TemporaryDirectory(prefix="fieldsignal-"))
+            configured = _KEPT_FOLDERS[-1].name
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
@@ -50,3 +52,19 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    # Executors fetch the archive when they first need it, so the folder lives on.
+    folder = tempfile.TemporaryDirectory(prefix="fieldsignal-package-")
+    _KEPT_FOLDERS.append(folder)
+    context.addPyFile(shutil.make_archive(f"{folder.name}/{root.name}", "zip", root.parent, root.name))
+    _SHIPPED.add(context.applicationId)
