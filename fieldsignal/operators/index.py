@@ -19,6 +19,12 @@ from fieldsignal.spec import SeriesSpec
 CHUNK = "_chunk"
 
 
+def _bucket_of(order: Column, width: int) -> Column:
+    """Start of the bucket a LONG falls in. Never NULL, so that the branches that count and
+    number the same rows keep identical plans and share their shuffle."""
+    return F.coalesce(order - F.pmod(order, F.lit(width)), F.lit(0))
+
+
 def running_counts(
     counts: DataFrame, keys: Sequence[str], order: str, widths: Sequence[int]
 ) -> DataFrame:
@@ -33,12 +39,11 @@ def running_counts(
     if not widths:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*preceding)
         return counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    finest = widths[-1]
     bucket = f"_{order}_b"
-    cut = counts.withColumn(bucket, F.floor(F.col(order) / finest))
+    cut = counts.withColumn(bucket, _bucket_of(F.col(order), widths[-1]))
     w = Window.partitionBy(*keys, bucket).orderBy(order).rowsBetween(*preceding)
     totals = cut.groupBy(*keys, bucket).agg(F.sum("n").alias("n"))
-    offsets = running_counts(totals, keys, bucket, [c // finest for c in widths[:-1]])
+    offsets = running_counts(totals, keys, bucket, widths[:-1])
     return (
         cut.withColumn("_inside", F.coalesce(F.sum("n").over(w), F.lit(0)))
         .join(offsets.select(*keys, bucket, "before"), [*keys, bucket])
@@ -58,12 +63,9 @@ def with_row_index(
     Rows are counted per fine time bucket; the running total of those counts is the
     offset of a bucket and ``row_number`` inside it completes the position.
     """
-    fine = spec.bucket_seconds[-1]
-    widths = [coarse // fine for coarse in spec.bucket_seconds[:-1]]
+    *widths, fine = (seconds * MICROS_PER_SECOND for seconds in spec.bucket_seconds)
     bucket = "_bucket"
-    cut = df.withColumn(
-        bucket, F.floor(epoch_micros(F.col(spec.time)) / (fine * MICROS_PER_SECOND))
-    )
+    cut = df.withColumn(bucket, _bucket_of(epoch_micros(F.col(spec.time)), fine))
     counts = cut.groupBy(*spec.keys, bucket).agg(F.count(F.lit(1)).alias("n"))
     offsets = running_counts(counts, spec.keys, bucket, widths).drop("n")
     if length:

@@ -211,7 +211,7 @@ def p8_void_counts(spark, sf):
 @query
 def p9_row_index(spark, sf):
     stacked = base.station_stacked(spark, sf)
-    numbered = index.with_row_index(stacked, STATIONS, tie_break=["event_id"], length="n_rows")
+    numbered = index.with_row_index(stacked, base.STATION_SHEETS, tie_break=["event_id"], length="n_rows")
     return numbered.select("station_id", "event_id", "row_idx", "n_rows")
 
 
@@ -338,9 +338,9 @@ def q9_latest_advisories(spark, sf):
     return advise.latest(a4_advisories(spark, sf), STATIONS)
 
 
-def _scored_splits(spark, sf) -> DataFrame:
-    """Cleaned stations, split, with the reading 24 rows ago as the forecast of now."""
-    parts = split.chronological_split(base.station_clean(spark, sf), STATIONS)
+def _scored_splits(cleaned: DataFrame) -> DataFrame:
+    """Clean stations, split, with the reading 24 rows ago as the forecast of now."""
+    parts = split.chronological_split(cleaned, STATIONS)
     return index.over_chunks(
         parts, STATIONS, 24, 0, lambda d, w: d.withColumn("prediction", F.lag(TARGET, 24).over(w))
     ).na.drop(subset=["prediction"])
@@ -350,7 +350,7 @@ def _scored_splits(spark, sf) -> DataFrame:
 def q10_run_summary(spark, sf):
     cleaned = base.station_clean(spark, sf)
     flagged = hampel.hampel(cleaned, STATIONS)
-    scored = _scored_splits(spark, sf)
+    scored = materialize(_scored_splits(cleaned))
     metrics = evaluate.evaluate(scored, ["station_id", "split"], TARGET, "prediction")
     advised = advise.advisories(scored.where("split = 'test'"), STATIONS)
     return rounded(
@@ -746,7 +746,7 @@ def x5_summary_points(spark, sf):
 
 
 def _forecasts(spark, sf) -> DataFrame:
-    return _scored_splits(spark, sf).where("split = 'test'")
+    return _scored_splits(base.station_clean(spark, sf)).where("split = 'test'")
 
 
 @query

@@ -7,6 +7,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,11 @@ from fieldsignal.spec import SENSOR_COLUMNS, SeriesSpec
 
 # Chunks are kept small here, so that seams between chunks occur at small scale too.
 READINGS = SeriesSpec(chunk_rows=1024)
-STATIONS = SeriesSpec(series=("station_id",), chunk_rows=1024)
+# Station times are whole minutes, so after deduplication a day holds at most 1,440 rows
+# of a station and one calendar level is enough to number them. The raw sheets hold any
+# number of rows per minute and are numbered with both levels.
+STATIONS = SeriesSpec(series=("station_id",), chunk_rows=1024, bucket_seconds=(86_400,))
+STATION_SHEETS = replace(STATIONS, bucket_seconds=SeriesSpec.bucket_seconds)
 USERS_PER_STATION = 100
 
 # Which event type plays which sensor, with the header a raw sheet gives it.

@@ -518,7 +518,7 @@ LAG_TABLE = "lagged_ AS (SELECT series_id, row_idx, earth_humidity, " + ", ".joi
 ) + """ FROM indexed),
 parts AS (SELECT series_id, row_idx, feature, value, (value - earth_humidity) * pow(0.5::DOUBLE, length(feature) % 3)
     * CASE WHEN feature < 'earth_humidity_lag_2' THEN 1 ELSE 0.5::DOUBLE END AS contribution
-  FROM (UNPIVOT (FROM lagged_ WHERE row_idx >= 24) ON COLUMNS(c -> c LIKE 'earth_humidity_lag%') INTO NAME feature VALUE value)),
+  FROM (UNPIVOT (FROM lagged_ WHERE row_idx >= 24) ON """ + ", ".join(f"earth_humidity_lag_{k}h" for k in (1, 2, 3, 6, 12, 24)) + """ INTO NAME feature VALUE value)),
 important AS (SELECT feature, avg(abs(contribution)) AS importance,
     row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank FROM parts GROUP BY 1)"""
 PARTS = (READINGS, INDEXED, LAG_TABLE)

@@ -16,6 +16,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName("fieldsignal")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # As many shuffle partitions as cores: merging them would only idle cores.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")

@@ -50,14 +50,16 @@ class SeriesSpec:
 
     ``chunk_rows`` is the number of consecutive rows one window partition or one packed
     block holds. ``bucket_seconds`` are the calendar levels (coarse to fine) used to
-    number rows without ever sorting a whole series in one task.
+    number rows without ever sorting a whole series in one task: with days and seconds, a
+    task sees the days of one series, the seconds of one of its days or the rows of one of
+    its seconds, of which distinct microseconds allow a million.
     """
 
     series: tuple[str, ...] = ("series_id",)
     time: str = "timestamp"
     index: str = "row_idx"
     chunk_rows: int = 4096
-    bucket_seconds: tuple[int, ...] = (86_400, 60)
+    bucket_seconds: tuple[int, ...] = (86_400, 1)
 
     @property
     def keys(self) -> list[str]:
