@@ -33,12 +33,14 @@ def mode_statistics(
             F.var_pop(v).alias("_var"),
             F.stddev_pop(v).alias("_std"),
             F.sum(v * v).alias("_energy"),
-            F.corr(v, "_x").alias("_r"),
+            F.covar_pop(v, "_x").alias("_cov"),
+            F.stddev_pop("_x").alias("_std_x"),
         )
     )
     total = F.sum("_energy").over(Window.partitionBy(*spec.keys))
     share = F.when(total > 0, F.col("_energy") / total * 100).otherwise(0.0)
-    r = F.when(~F.isnan("_r"), F.col("_r"))
+    # A constant mode or signal has no correlation.
+    r = F.try_divide("_cov", F.col("_std") * F.col("_std_x"))
     stats = sums.withColumns({"_share": share, "_r": r})
     report = [
         F.round("_var", 4).alias("variance"),
