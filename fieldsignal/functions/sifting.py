@@ -71,6 +71,21 @@ def first_mode(x: np.ndarray) -> np.ndarray:
     return h
 
 
+def is_oscillating(h: np.ndarray) -> bool:
+    return sum(points.size for points in turning_points(h)) > 2
+
+
+def all_modes(x: np.ndarray, limit: int) -> list[np.ndarray]:
+    """Up to ``limit`` modes of a signal that is one whole block, and what they leave."""
+    found, rest = [], x
+    while len(found) < limit:
+        found.append(first_mode(rest))
+        rest = rest - found[-1]
+        if not is_oscillating(rest):
+            break
+    return [*found, rest]
+
+
 def edge_changes(h: np.ndarray, start: int):
     """First and last position inside the block where the sample differs from the one
     before, each with the sign of that step; None if the block is flat."""

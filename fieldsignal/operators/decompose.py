@@ -1,6 +1,6 @@
 """Empirical mode decomposition of long series, and its ensemble with adaptive noise.
 
-A signal is packed into blocks of ``chunk_rows`` consecutive samples, one array per row.
+A signal is packed into blocks of ``block_rows`` consecutive samples, one array per row.
 What a block must know about the rest of its series (the run of equal samples it starts
 in, the nearest extrema outside) is carried along a summary with one row per block.
 One sift is therefore exact for series of any length, while no task holds more than
@@ -37,7 +37,7 @@ def to_blocks(df: DataFrame, spec: SeriesSpec, column: str) -> DataFrame:
     sizes = df.groupBy(*spec.keys).agg((F.max(spec.index) + 1).alias("size"))
     samples = F.sort_array(F.collect_list(F.struct(spec.index, column)))
     packed = (
-        df.withColumn("chunk", F.floor(F.col(spec.index) / spec.chunk_rows))
+        df.withColumn("chunk", F.floor(F.col(spec.index) / spec.block_rows))
         .groupBy(*spec.keys, "chunk")
         .agg(samples.alias("_s"))
     )
@@ -57,8 +57,8 @@ def from_blocks(blocks: DataFrame, spec: SeriesSpec, keep: Sequence[str] = (), v
     ).select(*spec.keys, (F.col("start") + F.col("_at")).cast("long").alias(spec.index), *keep, value)
 
 
-def _map_blocks(
-    blocks: DataFrame, extra: Sequence[T.StructField], kernel: Callable[[dict], dict], drop: Sequence[str] = ()
+def _flat_map_blocks(
+    blocks: DataFrame, extra: Sequence[T.StructField], kernel: Callable[[dict], list[dict]], drop: Sequence[str] = ()
 ) -> DataFrame:
     """Apply a helper to every block; ``extra`` are the columns it adds or replaces."""
     replaced = {f.name for f in extra} | set(drop)
@@ -68,13 +68,19 @@ def _map_blocks(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [row | kernel(row) for row in batch.to_dict("records")]
+            rows = [row | part for row in batch.to_dict("records") for part in kernel(row)]
             yield pd.DataFrame([[row[n] for n in names] for row in rows], columns=names, dtype=object)
 
     ship_package(blocks.sparkSession)
     return blocks.mapInPandas(run, schema)
 
 
+def _map_blocks(
+    blocks: DataFrame, extra: Sequence[T.StructField], kernel: Callable[[dict], dict], drop: Sequence[str] = ()
+) -> DataFrame:
+    return _flat_map_blocks(blocks, extra, lambda row: [kernel(row)], drop)
+
+
 VALUES = T.StructField("values", T.ArrayType(T.DoubleType()))
 
 
@@ -280,10 +286,10 @@ def sift_once(df: DataFrame, spec: SeriesSpec, column: str = TARGET, output: str
 # --- decomposition ----------------------------------------------------------------------
 
 
-def first_modes(blocks: DataFrame, keys: Sequence[str], chunk_rows: int, split_series: bool) -> DataFrame:
+def first_modes(blocks: DataFrame, keys: Sequence[str], block_rows: int, split_series: bool) -> DataFrame:
     """First mode of every signal. Series of one block are finished within a task, longer
     ones go through one job per sift."""
-    one_block = F.col("size") <= chunk_rows
+    one_block = F.col("size") <= block_rows
     small = _map_blocks(
         blocks.where(one_block), [VALUES], lambda row: {"values": sifting.first_mode(_array(row["values"]))}
     )
@@ -305,17 +311,15 @@ def _with_going(blocks: DataFrame, keys: Sequence[str], split_series: bool) -> D
     """Add ``going``: whether the series still has more than two extrema."""
     if not split_series:
         flag = [T.StructField("going", T.BooleanType())]
-        return _map_blocks(
-            blocks, flag, lambda row: {"going": sum(map(len, sifting.turning_points(_array(row["values"])))) > 2}
-        )
+        return _map_blocks(blocks, flag, lambda row: {"going": sifting.is_oscillating(_array(row["values"]))})
     counted = _with_extrema(blocks, keys).groupBy(*keys).agg(
         (F.sum(F.size("peaks") + F.size("troughs")) > 2).alias("going")
     )
     return blocks.join(counted, list(keys))
 
 
-def _has_split_series(blocks: DataFrame, chunk_rows: int) -> bool:
-    return not blocks.where(F.col("size") > chunk_rows).isEmpty()
+def _has_split_series(blocks: DataFrame, block_rows: int) -> bool:
+    return not blocks.where(F.col("size") > block_rows).isEmpty()
 
 
 def _numbered(blocks: DataFrame, component: int) -> DataFrame:
@@ -329,19 +333,28 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return total
 
 
-def decompose_blocks(
-    blocks: DataFrame, keys: Sequence[str], chunk_rows: int, modes: int
-) -> DataFrame:
+COMPONENT = T.StructField("component", T.IntegerType())
+
+
+def decompose_blocks(blocks: DataFrame, keys: Sequence[str], block_rows: int, modes: int) -> DataFrame:
     """Sift out up to ``modes`` modes per signal; the rest is the residue.
 
-    A signal leaves the loop once at most two extrema remain. The driver only asks
-    whether any signal is left.
+    Signals of one block are decomposed within a task. Longer ones go through one job per
+    sift and leave the loop once at most two extrema remain; the driver only asks whether
+    any signal is left.
     """
-    split_series = _has_split_series(blocks, chunk_rows)
-    current, found = blocks, []
+    def kernel(row: dict) -> list[dict]:
+        *found, rest = sifting.all_modes(_array(row["values"]), modes)
+        numbered = [*enumerate(found, start=1), (RESIDUE, rest)]
+        return [{"values": values, "component": component} for component, values in numbered]
+
+    found = [_flat_map_blocks(blocks.where(F.col("size") <= block_rows), [VALUES, COMPONENT], kernel)]
+    if not _has_split_series(blocks, block_rows):
+        return found[0]
+    current = blocks.where(F.col("size") > block_rows)
     for component in range(1, modes + 1):
-        mode = materialize(first_modes(current, keys, chunk_rows, split_series))
-        current = _settle(current, mode, keys, component, split_series, found)
+        mode = materialize(first_modes(current, keys, block_rows, split_series=True))
+        current = _settle(current, mode, keys, component, True, found)
         if current.isEmpty():
             return _union(found)
     found.append(_numbered(current, RESIDUE))
@@ -363,7 +376,7 @@ def emd(df: DataFrame, spec: SeriesSpec, column: str = TARGET, max_imfs: int = 6
     """Plain decomposition: at most ``max_imfs - 1`` modes and the residue, one row per
     (series, position, component)."""
     blocks = materialize(to_blocks(df, spec, column))
-    parts = decompose_blocks(blocks, spec.keys, spec.chunk_rows, max_imfs - 1)
+    parts = decompose_blocks(blocks, spec.keys, spec.block_rows, max_imfs - 1)
     return from_blocks(parts, spec, keep=["component"])
 
 
@@ -373,7 +386,7 @@ def _noise(blocks: DataFrame, spec: SeriesSpec, trials: int, seed: int) -> DataF
         blocks.drop("values")
         .withColumn(TRIAL, F.explode(F.sequence(F.lit(1), F.lit(trials))))
         .withColumn("_series", F.xxhash64(*[F.col(k) for k in spec.keys]))
-        .withColumn("_n", F.least(F.col("size") - F.col("start"), F.lit(spec.chunk_rows)))
+        .withColumn("_n", F.least(F.col("size") - F.col("start"), F.lit(spec.block_rows)))
         .repartition(*spec.keys, TRIAL, "chunk")
     )
 
@@ -431,9 +444,9 @@ def ceemdan(
     """
     keys, with_trial = spec.keys, [*spec.keys, TRIAL]
     signal = materialize(to_blocks(df, spec, column))
-    split_series = _has_split_series(signal, spec.chunk_rows)
+    split_series = _has_split_series(signal, spec.block_rows)
     noise = materialize(_noise(signal, spec, trials, seed))
-    noise_modes = materialize(decompose_blocks(noise, with_trial, spec.chunk_rows, max_imfs)).where(
+    noise_modes = materialize(decompose_blocks(noise, with_trial, spec.block_rows, max_imfs)).where(
         F.col("component") != RESIDUE
     )
     rest, found = signal, []
@@ -457,7 +470,7 @@ def ceemdan(
             .drop("_w")
         )
         disturbed = materialize(disturbed) if split_series else disturbed
-        modes = first_modes(disturbed, with_trial, spec.chunk_rows, split_series)
+        modes = first_modes(disturbed, with_trial, spec.block_rows, split_series)
         mode = materialize(_trial_mean(modes, keys))
         rest = _settle(rest, mode, keys, stage + 1, split_series, found)
         if rest.isEmpty():

@@ -449,12 +449,13 @@ def c3_sift_once(spark, sf):
     return rounded(decompose.sift_once(base.indexed_readings(spark, sf), READINGS))
 
 
+# Full decompositions take many sifts per series and use blocks of the default length.
 LONG_BLOCKS = SeriesSpec()
 
 
 @query
 def c4_emd(spark, sf):
-    return decompose.emd(base.indexed_readings(spark, sf), LONG_BLOCKS)
+    return rounded(decompose.emd(base.indexed_readings(spark, sf), LONG_BLOCKS))
 
 
 @query
@@ -466,7 +467,7 @@ def c5_ceemdan(spark, sf):
 def c6_mode_columns(spark, sf):
     df = base.indexed_readings(spark, sf)
     modes = decompose.emd(df, LONG_BLOCKS, max_imfs=4)
-    return decompose.attach_modes(df, modes, LONG_BLOCKS, count=3)
+    return rounded(decompose.attach_modes(df, modes, LONG_BLOCKS, count=3))
 
 
 def _two_modes(spark, sf) -> tuple[DataFrame, DataFrame]:

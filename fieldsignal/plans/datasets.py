@@ -18,8 +18,8 @@ from fieldsignal.session import materialize
 from fieldsignal.sources.tables import stack_tables, union_all
 from fieldsignal.spec import SENSOR_COLUMNS, SeriesSpec
 
-# Chunks are kept small here, so that seams between chunks occur at small scale too.
-READINGS = SeriesSpec(chunk_rows=1024)
+# Chunks and blocks are kept small here, so that seams between them occur at small scale too.
+READINGS = SeriesSpec(chunk_rows=1024, block_rows=1024)
 # Station times are whole minutes, so after deduplication a day holds at most 1,440 rows
 # of a station and one calendar level is enough to number them. The raw sheets hold any
 # number of rows per minute and are numbered with both levels.

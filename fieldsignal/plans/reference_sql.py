@@ -439,6 +439,77 @@ SQL["c2_envelopes"] = with_(*SIFT[:4]) + (
     'SELECT series_id, row_idx, round("upper", 9) AS "upper", round("lower", 9) AS "lower" FROM env'
 )
 SQL["c3_sift_once"] = with_(*SIFT) + "SELECT series_id, row_idx, h AS sifted FROM sifted"
+
+
+def _counted(source: str, name: str) -> str:
+    """Runs, extrema and their number per series for signal ``h`` of ``source``."""
+    return f"""{name}_runs AS MATERIALIZED (SELECT series_id, h, run, min(row_idx) AS a, max(row_idx) AS b FROM (
+    SELECT *, sum(brk) OVER (PARTITION BY series_id ORDER BY row_idx) AS run FROM (SELECT *,
+      CASE WHEN h IS DISTINCT FROM lag(h) OVER (PARTITION BY series_id ORDER BY row_idx) THEN 1 ELSE 0 END AS brk
+    FROM {source})) GROUP BY series_id, h, run),
+{name}_turns AS MATERIALIZED (SELECT series_id, (a + b) // 2 AS row_idx, sign AS kind FROM (SELECT *, CASE
+    WHEN h > lag(h) OVER r AND h > lead(h) OVER r THEN 1 WHEN h < lag(h) OVER r AND h < lead(h) OVER r THEN -1 END AS sign
+  FROM {name}_runs WINDOW r AS (PARTITION BY series_id ORDER BY run)) WHERE sign IS NOT NULL)"""
+
+
+def _sifted(source: str, name: str) -> str:
+    """One sift of signal ``h`` of ``source`` (series_id, row_idx, n, h) into ``name``."""
+    kinds = (("pk", 1), ("tr", -1))
+    near = ", ".join(
+        f"""last_value({k} IGNORE NULLS) OVER b AS pi_{k}, last_value(CASE WHEN {k} IS NOT NULL THEN h END IGNORE NULLS) OVER b AS pv_{k},
+      first_value({k} IGNORE NULLS) OVER f AS ni_{k}, first_value(CASE WHEN {k} IS NOT NULL THEN h END IGNORE NULLS) OVER f AS nv_{k}"""
+        for k, _ in kinds
+    )
+    line = {
+        k: f"CASE WHEN ni_{k} = pi_{k} THEN h ELSE pv_{k} + (nv_{k} - pv_{k}) / (ni_{k} - pi_{k}) * (row_idx - pi_{k}) END"
+        for k, _ in kinds
+    }
+    return f"""{_counted(source, name)},
+{name} AS MATERIALIZED (SELECT series_id, row_idx, n,
+    CASE WHEN least(n_up, n_down) >= 3 THEN h - ({line["pk"]} + {line["tr"]}) / 2 ELSE h END AS h
+  FROM (SELECT *, {near} FROM (SELECT s.*, n_up, n_down,
+      CASE WHEN kind = 1 OR row_idx IN (0, n - 1) THEN row_idx END AS pk,
+      CASE WHEN kind = -1 OR row_idx IN (0, n - 1) THEN row_idx END AS tr
+    FROM {source} s LEFT JOIN {name}_turns USING (series_id, row_idx)
+    LEFT JOIN (SELECT series_id, count(*) FILTER (WHERE kind = 1) AS n_up, count(*) FILTER (WHERE kind = -1) AS n_down
+      FROM {name}_turns GROUP BY 1) USING (series_id))
+    WINDOW b AS ({S} {BACK}), f AS ({S} {AHEAD})))"""
+
+
+def decomposition(modes: int) -> tuple[list[str], str]:
+    """CTEs that sift out ``modes`` modes, and the union of all components (0: residue)."""
+    ctes = [READINGS, INDEXED, """x1 AS MATERIALIZED (SELECT series_id, row_idx, count(*) OVER (PARTITION BY series_id) AS n,
+    earth_humidity AS h FROM indexed)"""]
+    parts = []
+    for m in range(1, modes + 1):
+        for step in range(1, 9):
+            ctes.append(_sifted(f"x{m}" if step == 1 else f"m{m}_{step - 1}", f"m{m}_{step}"))
+        ctes.append(
+            f"""rest{m} AS MATERIALIZED (SELECT series_id, row_idx, a.n, a.h - b.h AS h
+    FROM x{m} a JOIN m{m}_8 b USING (series_id, row_idx))"""
+        )
+        ctes.append(_counted(f"rest{m}", f"left{m}"))
+        going = f"(SELECT series_id FROM left{m}_turns GROUP BY 1 HAVING count(*) > 2)"
+        ctes.append(f"x{m + 1} AS MATERIALIZED (FROM rest{m} WHERE series_id IN {going})")
+        parts.append(f"SELECT series_id, row_idx, {m} AS component, h FROM m{m}_8")
+        parts.append(f"SELECT series_id, row_idx, 0, h FROM rest{m} WHERE series_id NOT IN {going}")
+    parts.append(f"SELECT series_id, row_idx, 0, h FROM x{modes + 1}")
+    return ctes, " UNION ALL ".join(parts)
+
+
+EMD_CTES, EMD_PARTS = decomposition(5)
+SQL["c4_emd"] = with_(*EMD_CTES) + (
+    f"SELECT series_id, row_idx, component, round(h, 9) AS value FROM ({EMD_PARTS})"
+)
+EMD_CTES, EMD_PARTS = decomposition(3)
+SQL["c6_mode_columns"] = with_(*EMD_CTES, f"parts AS MATERIALIZED ({EMD_PARTS})") + (
+    'SELECT series_id, row_idx, "timestamp", event_id, earth_humidity, '
+    + ", ".join(
+        f"round(max(h) FILTER (WHERE component = {k}), 9) AS {name}"
+        for k, name in ((1, "imf_1"), (2, "imf_2"), (3, "imf_3"), (0, "imf_residue"))
+    )
+    + " FROM indexed JOIN parts USING (series_id, row_idx) GROUP BY ALL"
+)
 STATISTICS = """modes AS (SELECT series_id, row_idx, v, 1 AS component, h AS x FROM sifted
   UNION ALL SELECT series_id, row_idx, v, 0, v - h FROM sifted),
 stats AS (SELECT series_id, component, CASE component WHEN 0 THEN 'Residue' ELSE 'IMF ' || component END AS component_name,

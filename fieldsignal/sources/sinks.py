@@ -36,8 +36,8 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str] = (), mode: str = "
 
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines, one per split; the metrics table is a handful of rows."""
-    metrics.coalesce(1).write.mode(mode).json(path)
+    """JSON lines, one per row of a metrics or summary table."""
+    metrics.write.mode(mode).json(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -48,8 +48,9 @@ TARGET = "earth_humidity"
 class SeriesSpec:
     """How rows form ordered series, and how long series are cut for parallel work.
 
-    ``chunk_rows`` is the number of consecutive rows one window partition or one packed
-    block holds. ``bucket_seconds`` are the calendar levels (coarse to fine) used to
+    ``chunk_rows`` is the number of consecutive rows one window partition holds, and
+    ``block_rows`` that of one packed block of a decomposition, where a series of a single
+    block needs no exchange with others. ``bucket_seconds`` are the calendar levels (coarse to fine) used to
     number rows without ever sorting a whole series in one task: with days and seconds, a
     task sees the days of one series, the seconds of one of its days or the rows of one of
     its seconds, of which distinct microseconds allow a million.
@@ -59,6 +60,7 @@ class SeriesSpec:
     time: str = "timestamp"
     index: str = "row_idx"
     chunk_rows: int = 4096
+    block_rows: int = 65_536
     bucket_seconds: tuple[int, ...] = (86_400, 1)
 
     @property

@@ -36,10 +36,10 @@ def test_extrema_fixtures():
     assert points([1, 1, 1]) == ([], [])
 
 
-@pytest.mark.parametrize("chunk_rows", [8, 512])
-def test_one_sift_is_exact_over_blocks(spark, signals, chunk_rows):
+@pytest.mark.parametrize("block_rows", [8, 512])
+def test_one_sift_is_exact_over_blocks(spark, signals, block_rows):
     pdf, df = signals
-    spec = SeriesSpec(chunk_rows=chunk_rows)
+    spec = SeriesSpec(block_rows=block_rows)
     found = decompose.extrema(df, spec, "v").toPandas()
     curves = decompose.envelopes(df, spec, "v").toPandas().sort_values(["series_id", "row_idx"])
     sifted = decompose.sift_once(df, spec, "v").toPandas().sort_values(["series_id", "row_idx"])
@@ -59,8 +59,8 @@ def test_one_sift_is_exact_over_blocks(spark, signals, chunk_rows):
 
 def test_split_series_give_the_same_modes(spark, signals):
     _, df = signals
-    whole = decompose.emd(df, SeriesSpec(chunk_rows=512), "v", 2).toPandas()
-    split = decompose.emd(df, SeriesSpec(chunk_rows=64), "v", 2).toPandas()
+    whole = decompose.emd(df, SeriesSpec(block_rows=512), "v", 2).toPandas()
+    split = decompose.emd(df, SeriesSpec(block_rows=64), "v", 2).toPandas()
     both = whole.merge(split, on=["series_id", "row_idx", "component"], how="outer")
     assert len(both) == len(whole) == len(split)
     np.testing.assert_allclose(both.value_x, both.value_y, atol=1e-12)
@@ -68,7 +68,7 @@ def test_split_series_give_the_same_modes(spark, signals):
 
 def test_ensemble_modes_add_up_and_repeat(spark, signals):
     pdf, df = signals
-    spec = SeriesSpec(chunk_rows=512)
+    spec = SeriesSpec(block_rows=512)
     modes = decompose.ceemdan(df, spec, "v", max_imfs=2, trials=4)
     again = decompose.ceemdan(df.repartition(5), spec, "v", max_imfs=2, trials=4)
     a, b = (m.toPandas().sort_values(["series_id", "row_idx", "component"]).reset_index(drop=True) for m in (modes, again))
@@ -110,7 +110,7 @@ def test_selection_of_the_report(spark):
 
 def test_statistics_and_reconstruction(spark, signals):
     pdf, df = signals
-    spec = SeriesSpec(chunk_rows=512)
+    spec = SeriesSpec(block_rows=512)
     modes = decompose.emd(df, spec, "v", 4)
     wide = modes.toPandas().pivot_table(index=["series_id", "row_idx"], columns="component", values="value").reset_index()
     stats = reconstruct.select_modes(reconstruct.mode_statistics(modes, df, spec, "v"))
