@@ -69,30 +69,32 @@ def sensor_lags(w: WindowSpec, present: Sequence[str]) -> Columns:
     }
 
 
-def _full(w: WindowSpec, column: str, rows: int, aggregate: Column) -> Column:
-    """An aggregate over the last ``rows`` rows, NULL until that many readings exist."""
-    frame = w.rowsBetween(-(rows - 1), 0)
-    return F.when(F.count(column).over(frame) == rows, aggregate.over(frame))
+def with_rolling(
+    df: DataFrame, w: WindowSpec, target: str = TARGET, parts: Sequence[str] = ("mean", "std", "extremes")
+) -> DataFrame:
+    """Trailing statistics including the current row, NULL until a frame is full.
 
-
-def rolling_mean(w: WindowSpec, target: str = TARGET) -> Columns:
-    return {f"earth_humidity_roll_mean_{n}h": _full(w, target, n, F.avg(target)) for n in ROLLING_WINDOWS}
-
-
-def rolling_std(w: WindowSpec, target: str = TARGET) -> Columns:
-    return {
-        f"earth_humidity_roll_std_{n}h": _full(w, target, n, F.stddev_samp(target)) for n in ROLLING_WINDOWS
-    }
-
-
-def rolling_extremes(w: WindowSpec, target: str = TARGET) -> Columns:
-    low = _full(w, target, EXTREMES_WINDOW, F.min(target))
-    high = _full(w, target, EXTREMES_WINDOW, F.max(target))
-    return {
-        "earth_humidity_roll_min_24h": low,
-        "earth_humidity_roll_max_24h": high,
-        "earth_humidity_daily_range": high - low,
-    }
+    Each frame's number of readings and each aggregate is one window column, evaluated
+    once; conditions and differences are added on top of them.
+    """
+    frames = {n: w.rowsBetween(-(n - 1), 0) for n in ROLLING_WINDOWS}
+    made: dict[str, tuple[int, Column]] = {}
+    if "mean" in parts:
+        made |= {f"earth_humidity_roll_mean_{n}h": (n, F.avg(target)) for n in ROLLING_WINDOWS}
+    if "std" in parts:
+        made |= {f"earth_humidity_roll_std_{n}h": (n, F.stddev_samp(target)) for n in ROLLING_WINDOWS}
+    if "extremes" in parts:
+        made["earth_humidity_roll_min_24h"] = (EXTREMES_WINDOW, F.min(target))
+        made["earth_humidity_roll_max_24h"] = (EXTREMES_WINDOW, F.max(target))
+    needed = sorted({n for n, _ in made.values()})
+    known = {f"_known_{n}": F.count(target).over(frames[n]) for n in needed}
+    aggregates = {name: aggregate.over(frames[n]) for name, (n, aggregate) in made.items()}
+    full = {name: F.when(F.col(f"_known_{n}") == n, F.col(name)) for name, (n, _) in made.items()}
+    out = df.withColumns(known | aggregates).withColumns(full).drop(*known)
+    if "extremes" in parts:
+        spread = F.col("earth_humidity_roll_max_24h") - F.col("earth_humidity_roll_min_24h")
+        out = out.withColumn("earth_humidity_daily_range", spread)
+    return out
 
 
 def rain_sums(w: WindowSpec, rain: str = "precipitation") -> Columns:
@@ -129,12 +131,11 @@ def build_features(
 
     def build(padded: DataFrame, w: WindowSpec) -> DataFrame:
         windowed = lead_target(w, target, horizon) | target_lags(w, target) | sensor_lags(w, present)
-        windowed |= rolling_mean(w, target) | rolling_std(w, target) | rolling_extremes(w, target)
         if "precipitation" in present:
             windowed |= rain_sums(w)
         if f"{target}_reconstructed" in present:
             windowed |= signal_lags(w, target)
-        return padded.withColumns(windowed)
+        return with_rolling(padded.withColumns(windowed), w, target)
 
     featured = over_chunks(df, spec, back, horizon, build).withColumns(
         hour_cycle(spec.time) | month_cycle(spec.time) | weekday_flags(spec.time)

@@ -523,20 +523,31 @@ def r5_extracted_noise(spark, sf):
 
 
 def _windowed(df: DataFrame, spec, build, left: int = 24, right: int = 0, digits: int = 9) -> DataFrame:
-    columns: list[str] = []
+    """Only what ``build`` adds; it returns columns, or the table with its new columns."""
 
     def add(padded, w):
-        new = build(w)
-        columns.extend(new)
-        return padded.withColumns(new)
+        new = build(padded, w)
+        return new if isinstance(new, DataFrame) else padded.withColumns(new)
 
     out = index.over_chunks(df, spec, left, right, add)
-    return rounded(out.select(*spec.keys, spec.index, *columns), digits)
+    return rounded(out.drop(*[c for c in df.columns if c not in (*spec.keys, spec.index)]), digits)
+
+
+def _lead(padded, w):
+    return features.lead_target(w)
+
+
+def _lags(padded, w):
+    return features.target_lags(w)
+
+
+def _rolling(part: str):
+    return lambda padded, w: features.with_rolling(padded, w, parts=[part])
 
 
 @query
 def f1_lead_target(spark, sf):
-    return _windowed(base.indexed_readings(spark, sf), READINGS, features.lead_target, 0, 24)
+    return _windowed(base.indexed_readings(spark, sf), READINGS, _lead, 0, 24)
 
 
 @query
@@ -559,13 +570,13 @@ def f4_weekday(spark, sf):
 
 @query
 def f5_target_lags(spark, sf):
-    return _windowed(base.indexed_readings(spark, sf), READINGS, features.target_lags)
+    return _windowed(base.indexed_readings(spark, sf), READINGS, _lags)
 
 
 @query
 def f6_earth_temperature_lags(spark, sf):
     return _windowed(
-        base.station_clean(spark, sf), STATIONS, lambda w: features.sensor_lags(w, ["earth_temperature"])
+        base.station_clean(spark, sf), STATIONS, lambda d, w: features.sensor_lags(w, ["earth_temperature"])
     )
 
 
@@ -574,36 +585,36 @@ def f7_air_lags(spark, sf):
     return _windowed(
         base.station_clean(spark, sf),
         STATIONS,
-        lambda w: features.sensor_lags(w, ["air_temperature", "air_humidity"]),
+        lambda d, w: features.sensor_lags(w, ["air_temperature", "air_humidity"]),
     )
 
 
 @query
 def f8_rolling_mean(spark, sf):
-    return _windowed(base.indexed_readings(spark, sf), READINGS, features.rolling_mean)
+    return _windowed(base.indexed_readings(spark, sf), READINGS, _rolling("mean"))
 
 
 @query
 def f9_rolling_std(spark, sf):
-    return _windowed(base.indexed_readings(spark, sf), READINGS, features.rolling_std, digits=6)
+    return _windowed(base.indexed_readings(spark, sf), READINGS, _rolling("std"), digits=6)
 
 
 @query
 def f10_rolling_extremes(spark, sf):
-    return _windowed(base.indexed_readings(spark, sf), READINGS, features.rolling_extremes)
+    return _windowed(base.indexed_readings(spark, sf), READINGS, _rolling("extremes"))
 
 
 @query
 def f11_rain_sums(spark, sf):
     rain = base.indexed_readings(spark, sf).withColumnRenamed(TARGET, "precipitation")
-    return _windowed(rain, READINGS, features.rain_sums, digits=6)
+    return _windowed(rain, READINGS, lambda d, w: features.rain_sums(w), digits=6)
 
 
 @query
 def f12_signal_lags(spark, sf):
     """Lags of a denoised signal; here the Hampel-cleaned one stands in for it."""
     signal = _hampel(spark, sf).withColumn(f"{TARGET}_reconstructed", F.col(f"{TARGET}_hampel_cleaned"))
-    return _windowed(signal, READINGS, features.signal_lags)
+    return _windowed(signal, READINGS, lambda d, w: features.signal_lags(w))
 
 
 @query

@@ -33,9 +33,8 @@ def test_rolling_and_lags_match_pandas(spark):
     rain = pd.Series(by_row(df, "precipitation"))
 
     def build(d, w):
-        return d.withColumns(
-            features.rolling_mean(w) | features.rolling_std(w) | features.rolling_extremes(w) | features.rain_sums(w)
-            | features.target_lags(w) | features.lead_target(w)
+        return features.with_rolling(
+            d.withColumns(features.rain_sums(w) | features.target_lags(w) | features.lead_target(w)), w
         )
 
     out = index.over_chunks(df, SPEC, 24, 24, build)
