@@ -10,6 +10,7 @@ has a bounded size; pieces then find their places in it by their rank among thos
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,11 +27,12 @@ from fieldsignal.session import materialize
 
 CAPACITY, END_ID = 4096, 1
 #: Rounds of the multiplicative weights, patterns priced in a round, and the step.
-ROUNDS, PATTERNS, STEP = 24, 96, 0.25
+ROUNDS, PATTERNS, STEP = 16, 150, 0.25
 #: Buckets of the two-level rank of pieces within their length.
 BUCKETS = 256
-#: Sequences' worth of pieces that are left to best fit.
-TAIL = 8
+#: How full a pattern must be to be taken, the share of what is left that a solution must pack for
+#: another to follow, and the sequences' worth of pieces that are filled longest first in any case.
+FULLNESS, PROGRESS, TAIL = 0.999, 0.02, 8
 #: Words that a worker remembers.
 MEMO_WORDS = 600_000
 
@@ -98,11 +100,14 @@ def _pieces(path: str, capacity: int, end_id: int):
 
 
 def price(values: np.ndarray, capacity: int) -> np.ndarray:
-    """best[c]: the largest value of pieces of c tokens in all, with values by length."""
-    best = np.zeros(capacity + 1)
+    """best[c]: the largest value of pieces of c tokens or fewer, with values by length."""
+    values = values.astype(np.float32)
+    behind = np.zeros(capacity + 1, dtype=np.float32)  # best[c] at capacity - c, so that sums run forward
+    sums = np.empty(capacity, dtype=np.float32)
     for c in range(1, capacity + 1):
-        best[c] = max(best[c - 1], (values[1 : c + 1] + best[c - 1 :: -1][:c]).max())
-    return best
+        found = np.add(values[1 : c + 1], behind[capacity - c + 1 :], out=sums[:c]).max()
+        behind[capacity - c] = max(behind[capacity - c + 1], found)
+    return behind[::-1].copy()
 
 
 def _pattern(values: np.ndarray, best: np.ndarray, first: int, capacity: int) -> dict[int, int]:
@@ -111,7 +116,7 @@ def _pattern(values: np.ndarray, best: np.ndarray, first: int, capacity: int) ->
     while left > 0:
         sums = values[1 : left + 1] + best[left - 1 :: -1][:left]
         length = int(sums.argmax()) + 1
-        if sums[length - 1] < best[left] - 1e-12 or not np.isfinite(values[length]):
+        if sums[length - 1] < best[left] * (1 - 1e-5) or not np.isfinite(values[length]):
             if best[left - 1] < best[left]:
                 break
             left -= 1
@@ -141,7 +146,7 @@ def _fractional(counts: np.ndarray, capacity: int) -> list[tuple[float, dict[int
             gain = amount * times / counts[lengths]
             covered[lengths] += gain
             weights[lengths] *= np.exp(-gain)
-    scale = max(1.0, covered.max())
+    scale = max(1.0, covered[present].mean())
     return [(x / scale, p) for x, p in zip(amounts, patterns)]
 
 
@@ -152,8 +157,9 @@ def _take(pattern: dict[int, int], wanted: int, left: np.ndarray) -> int:
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """Patterns with the number of sequences that follow each; together they hold every piece.
 
-    counts[l] is the number of pieces of l tokens. Rounded solutions are taken while they pack a
-    good part of what is left; the tail, fewer sequences than patterns of a round, is filled by best fit.
+    counts[l] is the number of pieces of l tokens. A solution is rounded up, pattern by pattern, as
+    far as pieces are left, and what is left is solved again while that packs a part of it. The
+    tail is filled longest first.
     """
     left, chosen = counts.astype(np.int64).copy(), []
     if left[capacity]:
@@ -163,27 +169,40 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, dict[i
     while (left * lengths).sum() > TAIL * capacity:
         before = (left * lengths).sum()
         for amount, pattern in sorted(_fractional(left, capacity), key=lambda x: -x[0]):
-            fill = sum(length * times for length, times in pattern.items())
-            if fill < 0.999 * capacity:
+            if sum(length * times for length, times in pattern.items()) < FULLNESS * capacity:
                 continue
-            n = _take(pattern, max(1, int(amount)), left)
+            n = _take(pattern, math.ceil(amount), left)
             if n:
                 chosen.append((n, pattern))
                 for length, times in pattern.items():
                     left[length] -= n * times
-        if (left * lengths).sum() > 0.97 * before:
+        if (left * lengths).sum() > (1 - PROGRESS) * before:
             break
-    gaps: list[list] = []
-    for length in np.flatnonzero(left)[::-1].tolist():
-        for _ in range(int(left[length])):
-            fits = [g for g in gaps if g[0] >= length]
-            if fits:
-                gap = min(fits, key=lambda g: g[0])
-            else:
-                gaps.append(gap := [capacity, {}])
-            gap[0] -= length
-            gap[1][length] = gap[1].get(length, 0) + 1
-    return chosen + [(1, pattern) for _, pattern in gaps]
+    return chosen + _fill(left, capacity)
+
+
+def _fill(left: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """Patterns for the pieces that are left: the longest, then always the longest that still fits.
+
+    Each pattern is taken until one of its lengths has run out, so there are no more than lengths.
+    """
+    chosen = []
+    while left.any():
+        room, pattern = capacity, {}
+        free = left.copy()
+        while room:
+            fits = np.flatnonzero(free[: room + 1])
+            if not len(fits):
+                break
+            length = int(fits[-1])
+            pattern[length] = pattern.get(length, 0) + 1
+            free[length] -= 1
+            room -= length
+        n = min(int(left[length]) // times for length, times in pattern.items())
+        for length, times in pattern.items():
+            left[length] -= n * times
+        chosen.append((n, pattern))
+    return chosen
 
 
 def slots(chosen: list[tuple[int, dict[int, int]]]) -> dict[int, tuple[np.ndarray, ...]]:
