@@ -20,7 +20,7 @@ from fieldsignal.llm.common import WORD_BYTES, longs, map_arrow, utf8
 
 WINDOW = 13
 #: Bytes of training texts of a shard, and of benchmark texts that go to the tasks in one block.
-SHARD_BYTES, BLOCK_BYTES = 12 << 20, 16 << 20
+SHARD_BYTES, BLOCK_BYTES = 6 << 20, 16 << 20
 
 
 class Benchmark:
