@@ -31,7 +31,7 @@ from fieldsignal.session import materialize
 
 LENGTH, GRAM = 100, 40
 #: Bytes of texts that a task takes up at once, and of a block of buckets that is sorted at once.
-CHUNK_BYTES, BLOCK_BYTES = 8 << 20, 3 << 20
+CHUNK_BYTES, BLOCK_BYTES = 3 << 20, 3 << 20
 #: Different runs of a bucket beyond which its strings are dealt singly.
 HOT_RUNS = 2_000
 #: Starts of a run at most: periodic text has one bucket throughout.
