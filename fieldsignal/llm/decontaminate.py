@@ -49,6 +49,8 @@ class Benchmark:
 def suffix_array(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """The starts in the order of the ``depth`` words from each; ``words`` is padded by ``depth``."""
     order = starts
+    if not len(order):
+        return order
     tied = np.zeros(len(order), dtype=np.int64)  # the rank of the group that is not yet told apart
     for at in range(0, depth, 2):
         key = words[order + at].astype(np.int64) << 32 | words[order + min(at + 1, depth - 1)].astype(np.int64)
