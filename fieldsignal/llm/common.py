@@ -43,6 +43,13 @@ def longs(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.int64))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as keep it apart from the columns of df."""
+    while name.lower() in {x.lower() for x in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, all else as it is, for comparisons with ASCII words.
 

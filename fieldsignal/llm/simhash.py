@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldsignal.llm.common import UPPER, LOWER, map_arrow, same_key, utf8
+from fieldsignal.llm.common import LOWER, UPPER, free_name, map_arrow, same_key, utf8
 from fieldsignal.llm.components import components
 from fieldsignal.session import materialize
 
@@ -209,18 +209,19 @@ def keep_one(docs: DataFrame, words: int = WORDS, seed: int = SEED, limit: int =
     """One row of docs, all columns, of each component: that of the smallest doc_id (null last)."""
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best")
     kept = _assigned(docs, words, seed, limit).groupBy("root").agg(best)
-    kept = kept.select("best.doc_id", F.col("best.fp").alias("__fp"))
+    mark, row = free_name(docs, "fp"), free_name(docs, "row")
+    kept = kept.select("best.doc_id", F.col("best.fp").alias(mark))
     at, fields = docs.columns.index("text"), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([fingerprint(x, words, seed) for x in utf8(batch.column(at))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(made.view(np.int64))], names=[*fields.fieldNames(), "__fp"]
+                [*batch.columns, pa.array(made.view(np.int64))], names=[*fields.fieldNames(), mark]
             )
 
-    marked = map_arrow(docs, run, T.StructType([*fields.fields, T.StructField("__fp", T.LongType())]))
-    found = same_key(marked, kept, ["doc_id", "__fp"], "left_semi")
+    marked = map_arrow(docs, run, T.StructType([*fields.fields, T.StructField(mark, T.LongType())]))
+    found = same_key(marked, kept, ["doc_id", mark], "left_semi")
     # Rows that repeat an id and a fingerprint are copies of one another.
-    first = Window.partitionBy("doc_id", "__fp").orderBy(F.xxhash64("text"))
-    return found.withColumn("__row", F.row_number().over(first)).where("__row = 1").select(*docs.columns)
+    first = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64("text"))
+    return found.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldsignal.llm.common import longs, map_arrow, utf8
+from fieldsignal.llm.common import free_name, longs, map_arrow, utf8
 from fieldsignal.llm.suffixes import PAD, repeats, sort_suffixes
 from fieldsignal.session import materialize
 
@@ -457,14 +457,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Bytes of a character that is removed in part go with it. Null texts stay null.
     """
     fields = docs.schema
+    doc, tag, bytes_, null, found = (free_name(docs, n) for n in ("doc", "tag", "packed", "null", "starts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             texts = []
-            for packed, starts, null in zip(*(batch.column(n).to_pylist() for n in ("__packed", "__starts", "__null"))):
+            for packed, starts, empty in zip(*(batch.column(n).to_pylist() for n in (bytes_, found, null))):
                 kept = kept_bytes(unpack.decompress(packed), spans(starts))
-                texts.append(None if null else kept.decode("utf-8", "ignore"))
+                texts.append(None if empty else kept.decode("utf-8", "ignore"))
             columns = []
             for name in fields.fieldNames():
                 column = batch.column(name) if name != "text" else pa.array(texts, type=pa.string())
@@ -485,15 +486,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             ]
             others = [n for n in fields.fieldNames() if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in others), *extra], names=[*others, "__doc", "__tag", "__packed", "__null"]
+                [*(batch.column(n) for n in others), *extra], names=[*others, doc, tag, bytes_, null]
             )
 
     others = T.StructType([f for f in fields if f.name != "text"])
     packed_fields = T.StructType([*others.fields, *T._parse_datatype_string(
-        "__doc long, __tag long, __packed binary, __null boolean"
+        f"`{doc}` long, `{tag}` long, `{bytes_}` binary, `{null}` boolean"
     ).fields])
     packed = map_arrow(docs, pack, packed_fields)
     starts = repeated_starts(docs).select(
-        F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("starts").alias("__starts")
+        F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("starts").alias(found)
     )
-    return map_arrow(packed.join(starts, ["__doc", "__tag"], "left"), run, fields)
+    return map_arrow(packed.join(starts, [doc, tag], "left"), run, fields)
