@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,16 +110,18 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     )
 
 
-def _starts(words: Column, phrase: list[str]) -> Column:
-    """The places, from 0, where the phrase's words stand one after another."""
+def _starts(text: Column, phrase: list[str]) -> Column:
+    """The places, from 0, where the phrase's words stand one after another among the words of the text."""
 
-    def fits(n: Column) -> Column:
-        parts = [F.get(words, n + k) == w for k, w in enumerate(phrase)]
-        return F.forall(F.array(*parts), lambda x: x)
+    def among(words: Column) -> Column:
+        last = F.size(words) - len(phrase)
+        places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.filter(
+            places, lambda n: reduce(and_, (F.get(words, n + k) == word for k, word in enumerate(phrase)))
+        )
 
-    last = F.size(words) - len(phrase)
-    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.filter(places, fits)
+    # The words are bound to a variable: an expression inside the inner function would be evaluated for every place.
+    return F.get(F.transform(F.array(_words(text)), among), 0)
 
 
 def scan(
@@ -144,7 +148,7 @@ def scan(
         parts = phrase.split()
         # Texts without the phrase, whatever stands between its words, are not split at all.
         pattern = f"[^0-9a-z]+".join(re.escape(p) for p in parts)
-        starts.append(F.when(F.rlike("lower", F.lit(pattern)), _starts(_words(F.col("lower")), parts)).otherwise(none))
+        starts.append(F.when(F.rlike("lower", F.lit(pattern)), _starts(F.col("lower"), parts)).otherwise(none))
     rows = rows.select(
         "doc_id",
         "mark",
