@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldsignal.llm.common import longs, map_arrow, utf8
+from fieldsignal.llm.common import longs, map_arrow
 from fieldsignal.llm.tokens import load
 from fieldsignal.session import materialize
 
@@ -43,21 +43,30 @@ PLAIN = r"[\u0009-\u000d -\u007f -˿]*"
 
 
 class Memo(dict):
-    """Ids, as little-endian bytes, of words that were met."""
+    """Ids, as little-endian bytes, of lower-cased words that were met."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
+        from tokenizers.pre_tokenizers import ByteLevel
+
         super().__init__()
         self.tokenizer = load(path)[0]
+        # For words that are normalised and split already.
+        self.inner = Tokenizer.from_file(path)
+        self.inner.normalizer = Sequence([])
+        self.inner.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.split = regex.compile(WORD_PARTS).findall
 
-    def __missing__(self, word: str) -> bytes:
-        parts = self.split(word)
-        if parts == [word]:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        else:
-            ids = b"".join([self[x] for x in parts])
-        self[word] = ids
-        return ids
+    def learn(self, words: set[str]) -> None:
+        """Take in the words that are not known yet."""
+        split = {w: self.split(w) for w in words if w not in self}
+        parts = list({p for found in split.values() for p in found if p not in self})
+        made = self.inner.encode_batch_fast(parts, add_special_tokens=False)
+        self.update(zip(parts, (np.array(x.ids, dtype="<u4").tobytes() for x in made)))
+        for word, found in split.items():
+            if len(found) != 1:
+                self[word] = b"".join([self[p] for p in found])
 
 
 @lru_cache(maxsize=2)
@@ -65,14 +74,21 @@ def _memo(path: str) -> Memo:
     return Memo(path)
 
 
-def encode(path: str, text: str) -> bytes:
-    """The ids of the text: by words where that is the same, else by the tokenizer."""
-    memo = _memo(path)
-    if not regex.fullmatch(PLAIN, text) or any(x in text for x in load(path)[1]):
-        return np.array(memo.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+def encode(path: str, texts: list[str]) -> list[bytes]:
+    """The ids of each text: by words where that is the same, else by the tokenizer."""
+    memo, added, plain = _memo(path), load(path)[1], regex.compile(PLAIN).fullmatch
     if len(memo) > MEMO_WORDS:
         memo.clear()
-    return b"".join(map(memo.__getitem__, text.lower().split()))
+    words = [None if not plain(x) or any(a in x for a in added) else x.lower().split() for x in texts]
+    memo.learn(set().union(*(w for w in words if w)))
+    out = []
+    for text, found in zip(texts, words):
+        if found is None:
+            ids = memo.tokenizer.encode(text, add_special_tokens=False).ids
+            out.append(np.array(ids, dtype="<u4").tobytes())
+        else:
+            out.append(b"".join([memo[w] for w in found]))
+    return out
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -84,8 +100,9 @@ def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                ids = encode(path, raw.decode()) + closing
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(path, texts)):
+                ids += closing
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
