@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -23,7 +24,7 @@ class BoostingParams:
     row_sample: float = 0.85
     column_sample: str = "0.85"
     min_leaf_rows: int = 20
-    patience: int = 50
+    patience: int = 10
     seed: int = 42
 
 
@@ -69,13 +70,26 @@ def _regressor(label: str, params: BoostingParams) -> GBTRegressor:
     )
 
 
+def _first_trees(full: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The model that boosting had after ``count`` rounds."""
+    context = SparkContext.getOrCreate()
+    regression, gateway = context._jvm.org.apache.spark.ml.regression, context._gateway
+    trees = gateway.new_array(regression.DecisionTreeRegressionModel, count)
+    weights = gateway.new_array(gateway.jvm.double, count)
+    for i in range(count):
+        trees[i] = full._java_obj.trees()[i]
+        weights[i] = full.treeWeights[i]
+    kept = regression.GBTRegressionModel(full.uid, trees, weights, full.numFeatures)
+    return GBTRegressionModel(kept.setFeaturesCol(full.getFeaturesCol()).setPredictionCol(full.getPredictionCol()))
+
+
 def train(
     splits: DataFrame, features: Sequence[str], label: str, params: BoostingParams = BoostingParams(), **overrides
 ) -> Fitted:
     """Fit on the train rows, choose the number of rounds on the validation rows.
 
-    The error after each round comes from one pass over the validation rows. Boosting is
-    deterministic for a seed, so fitting again with fewer rounds gives the same first trees.
+    The error after each round comes from one pass over the validation rows; the model keeps the
+    first trees of the one fit.
     """
     params = replace(params, **overrides)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
@@ -84,7 +98,7 @@ def train(
     full = _regressor(label, params).fit(learn)
     errors = full.evaluateEachIteration(check, "squared")
     best = stop_round(errors, params.patience)
-    final = full if best == params.rounds else _regressor(label, replace(params, rounds=best)).fit(learn)
+    final = full if best >= full.getNumTrees else _first_trees(full, best)
     return Fitted(PipelineModel([assembler, final]), errors, best)
 
 

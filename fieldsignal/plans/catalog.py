@@ -681,14 +681,10 @@ def e6_residual_histogram(spark, sf):
 
 # --- model and attribution -------------------------------------------------------------
 
-# Few shallow rounds: the queries show the operators, not the best forecast.
-QUICK = model.BoostingParams(rounds=10, depth=4, patience=4)
-
-
 def _fitted(spark, sf) -> tuple[model.Fitted, DataFrame]:
     featured, names, label = features.build_features(base.indexed_readings(spark, sf).drop("event_id"), READINGS)
     splits = materialize(split.chronological_split(featured, READINGS))
-    return model.train(splits, names, label, QUICK), splits
+    return model.train(splits, names, label), splits
 
 
 @query
@@ -739,7 +735,7 @@ def _stand_in_contributions(spark, sf) -> DataFrame:
 
 @query
 def x3_importance(spark, sf):
-    return rounded(attribute.importance(_stand_in_contributions(spark, sf), 5), 6)
+    return rounded(attribute.importance(_stand_in_contributions(spark, sf), 5), 9)
 
 
 @query

@@ -593,7 +593,7 @@ parts AS (SELECT series_id, row_idx, feature, value, (value - earth_humidity) *
 important AS (SELECT feature, avg(abs(contribution)) AS importance,
     row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank FROM parts GROUP BY 1)"""
 PARTS = (READINGS, INDEXED, LAG_TABLE)
-SQL["x3_importance"] = with_(*PARTS) + "SELECT feature, round(importance, 6) AS importance, rank FROM important WHERE rank <= 5"
+SQL["x3_importance"] = with_(*PARTS) + "SELECT feature, round(importance, 9) AS importance, rank FROM important WHERE rank <= 5"
 SQL["x4_local_explanation"] = with_(*PARTS) + """SELECT series_id, row_idx, least(place, 4) AS rank,
   CASE WHEN count(*) > 1 THEN 'other' ELSE min(feature) END AS feature, round(sum(contribution), 9) AS contribution
 FROM (SELECT *, row_number() OVER (PARTITION BY series_id, row_idx ORDER BY abs(contribution) DESC, feature) AS place FROM parts)

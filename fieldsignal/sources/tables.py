@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Callable, Mapping
+from functools import partial, reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,19 +39,20 @@ def tag(df: DataFrame, sheet: str, label: str) -> DataFrame:
     return df.withColumns({"source_sheet": F.lit(sheet), "source_year": F.lit(label)})
 
 
-def stack_tables(tables: Mapping[str, DataFrame], label: str) -> DataFrame:
-    """Canonicalise, tag and stack the environmental tables of one dataset.
+def stack_tables(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], label: str) -> DataFrame:
+    """Canonicalise, tag and stack the environmental tables of one dataset, given as they are or by readers.
 
     Other tables are left out; a table that cannot be read is skipped with a warning.
     """
     kept = []
     for name, table in tables.items():
         try:
+            table = table() if callable(table) else table
             if is_environmental(table):
                 kept.append(tag(to_canonical(table), name, label))
             else:
                 log.info("table %s holds no environmental readings", name)
-        except PySparkException as problem:
+        except (PySparkException, Py4JJavaError) as problem:
             log.warning("table %s could not be read: %s", name, problem)
     if not kept:
         raise ValueError(f"no environmental table in dataset {label}")
@@ -86,14 +88,14 @@ def find_datasets(
 def load_dataset(spark: SparkSession, path: str, label: str) -> DataFrame:
     """A dataset at ``path``: either one table, or a folder of one table per sheet."""
     sheets = {
-        name.rsplit(".", 1)[0]: read_table(spark, child)
+        name.rsplit(".", 1)[0]: partial(read_table, spark, child)
         for name, child in _children(spark, path)
         if name.lower().endswith((".csv", ".parquet"))
     }
     whole_table = path.lower().rstrip("/").endswith((".csv", ".parquet"))
     if whole_table or not sheets:
         name = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        sheets = {name: read_table(spark, path)}
+        sheets = {name: partial(read_table, spark, path)}
     return stack_tables(sheets, label)
 
 
