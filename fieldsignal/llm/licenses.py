@@ -58,20 +58,20 @@ def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFra
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, words: the distinct words of every line that has any."""
+    """doc_id, mark, words: the distinct words of every line."""
     lines = docs.select(
         "doc_id", F.xxhash64("text").alias("mark"), F.explode(F.split(lower_ascii(F.col("text")), "\n")).alias("line")
     )
-    lines = lines.select("doc_id", "mark", F.array_distinct(_words(F.col("line"))).alias("words"))
-    return lines.where(F.size("words") > 0)
+    return lines.select("doc_id", "mark", F.array_distinct(_words(F.col("line"))).alias("words"))
 
 
 def word_order(blocks: DataFrame, templates: DataFrame) -> DataFrame:
     """template, label, word, place, size: the words of each template from the globally rarest on."""
     known = sorted({row["word"] for row in templates.select("word").collect()})  # a constant of the call
     vocabulary = F.array(*[F.lit(w) for w in known])
-    found = blocks.select(F.explode(F.array_intersect("words", vocabulary)).alias("word"))
-    often = found.groupBy("word").count()
+    # The outer form, as else a filter is inferred that extracts all words once more.
+    found = blocks.select(F.explode_outer(F.array_intersect("words", vocabulary)).alias("word"))
+    often = found.where("word is not null").groupBy("word").count()
     ranked = templates.join(often, "word", "left").select(
         "template", "label", "word", F.coalesce("count", F.lit(0)).alias("often")
     )
@@ -96,7 +96,7 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     )
     rare = F.array(*[F.lit(w) for w in sorted({x[0] for x in prefixes})])
     candidates = blocks.where(F.arrays_overlap("words", rare))
-    candidates = candidates.select("*", F.explode(F.array_intersect("words", rare)).alias("word")).join(prefix, "word")
+    candidates = candidates.select("*", F.explode_outer(F.array_intersect("words", rare)).alias("word")).join(prefix, "word")
     # Length: the block holds as many words as are needed. Position: this is the first common word
     # of the template's order, and enough words stand from it on.
     candidates = candidates.where(
