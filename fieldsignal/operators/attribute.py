@@ -20,7 +20,7 @@ from fieldsignal.spec import SeriesSpec
 def sample_rows(df: DataFrame, spec: SeriesSpec, n: int = 500, seed: int = 42) -> DataFrame:
     """A repeatable sample of ``n`` rows, or all rows if there are fewer: those with the
     smallest hash of key and seed."""
-    order = F.xxhash64(*[F.col(k) for k in spec.keys], F.col(spec.index), F.lit(seed))
+    order = F.md5(F.concat_ws(":", *spec.keys, spec.index, F.lit(seed)))
     return df.orderBy(order, *spec.keys, spec.index).limit(n)
 
 

@@ -242,11 +242,11 @@ def _with_context(blocks: DataFrame, keys: Sequence[str], store: bool) -> DataFr
 def extrema(df: DataFrame, spec: SeriesSpec, column: str = TARGET) -> DataFrame:
     """Local peaks and troughs of a series: (series, position, kind)."""
     marked = _with_extrema(to_blocks(df, spec, column), spec.keys)
-    sides = [
-        marked.select(*spec.keys, F.explode(f"{kind}s").alias(spec.index), F.lit(kind).alias("kind"))
-        for kind in KINDS
-    ]
-    return sides[0].unionByName(sides[1])
+
+    def turns(kind: str) -> Column:
+        return F.transform(f"{kind}s", lambda at: F.struct(at.alias(spec.index), F.lit(kind).alias("kind")))
+
+    return marked.select(*spec.keys, F.inline(F.concat(*map(turns, KINDS))))
 
 
 def envelopes(df: DataFrame, spec: SeriesSpec, column: str = TARGET) -> DataFrame:

@@ -463,6 +463,13 @@ def c5_ceemdan(spark, sf):
     return decompose.ceemdan(base.indexed_readings(spark, sf), LONG_BLOCKS)
 
 
+@query
+def c5_components_sum(spark, sf):
+    """The modes and the residue of every row add up to its reading."""
+    parts = decompose.ceemdan(base.indexed_readings(spark, sf), LONG_BLOCKS)
+    return rounded(parts.groupBy(*ROW).agg(F.sum("value").alias(TARGET)), 6)
+
+
 @query
 def c6_mode_columns(spark, sf):
     df = base.indexed_readings(spark, sf)
@@ -709,6 +716,14 @@ def m4_predict(spark, sf):
     return model.predict(fitted.model, splits).select(*ROW, "split", features.lead_target_name(), "prediction")
 
 
+@query
+def m4_predicted_rows(spark, sf):
+    """Which rows get a prediction, and in which split."""
+    fitted, splits = _fitted(spark, sf)
+    scored = model.predict(fitted.model, splits)
+    return scored.select(*ROW, "split", F.col("prediction").isNotNull().alias("predicted"))
+
+
 @query
 def x1_sample(spark, sf):
     return attribute.sample_rows(base.indexed_readings(spark, sf), READINGS).select(*ROW, TARGET)
@@ -721,6 +736,18 @@ def x2_contributions(spark, sf):
     return attribute.contributions(splits.where("split = 'test'"), fitted, READINGS)
 
 
+@query
+def x2_contributions_add_up(spark, sf):
+    """Whether base value and contributions of every test row add up to its prediction."""
+    fitted, splits = _fitted(spark, sf)
+    test = splits.where("split = 'test'")
+    parts = attribute.contributions(test, fitted, READINGS)
+    total = parts.groupBy(*ROW).agg((F.max("base_value") + F.sum("contribution")).alias("total"))
+    both = model.predict(fitted.model, test).join(total, ROW, "left")
+    agrees = F.abs(F.col("total") - F.col("prediction")) < 1e-6
+    return both.select(*ROW, F.coalesce(agrees, F.lit(False)).alias("agrees"))
+
+
 def _stand_in_contributions(spark, sf) -> DataFrame:
     """A contribution table that plain SQL can rebuild: weighted distances to the lags."""
     lagged = index.over_chunks(
