@@ -6,11 +6,17 @@ segments stays within its share of the budget: the first segment equal, the firs
 less, three at 2, four at 3. A candidate must share the first two segments of such a chain up to
 one bit in the second: distinct fingerprints are dealt by those 26 or so bits, once as they are
 and once for each bit changed, and the longer chains are checked before the full comparison.
+
+Cells that very many fingerprints crowd are not compared pair by pair. There every fingerprint
+is dealt again by all values within two bits of it (one bit if it came changed) in the segments
+that are left. Fingerprints at 4 or fewer bits share such a value, and those that share one are
+at 4 or fewer bits, so each value links its holders, of which it has some 1,300 at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +32,10 @@ from fieldsignal.session import materialize
 WORDS, SEED, DISTANCE = 4, 42, 4
 #: Width of the five segments of a fingerprint, from its low bits.
 SEGMENTS = (13, 13, 13, 13, 12)
+#: Unchanged fingerprints that make a cell crowded; others hold at most 14 times as many rows.
+CROWDED = 1_024
+#: Rows of crowded cells that are dealt again at a time.
+SLICE = 100
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -147,8 +157,52 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
-def links(nodes: DataFrame, limit: int = DISTANCE) -> DataFrame:
+def _crowded_cells(nodes: DataFrame, crowded: int) -> DataFrame:
+    """The cells of more than ``crowded`` unchanged fingerprints, and all cells one bit beside them."""
+    plain = _dealt(nodes).where("not probe").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > crowded)
+    around = F.array(*(F.col("cell").bitwiseXOR(mask) for mask in (0, *(1 << bit for bit in range(max(SEGMENTS))))))
+    return materialize(plain.select(F.explode(around).alias("cell")).distinct())
+
+
+def _balls(at: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The bits outside the first two segments of a chain from ``at``; their changes of up to two bits, and of up to one."""
+    own, low = {at, (at + 1) % len(SEGMENTS)}, 0
+    bits = []
+    for k, width in enumerate(SEGMENTS):
+        bits += [1 << b for b in range(low, low + width) if k not in own]
+        low += width
+    wide = [0, *bits, *(a | b for a, b in combinations(bits, 2))]
+    return sum(bits), np.array(wide, dtype=np.uint64), np.array([0, *bits], dtype=np.uint64)
+
+
+def _linked_around(rows: DataFrame) -> DataFrame:
+    """Links of the rows of crowded cells, by the values within two bits (of changed ones: one) that they share."""
+    balls = [_balls(at) for at in range(len(SEGMENTS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                cells = part.column(0).to_numpy()
+                probes = part.column(1).to_numpy(zero_copy_only=False)
+                fps = part.column(2).to_numpy().view(np.uint64)
+                for at, probe in set(zip((cells >> 32).tolist(), probes.tolist())):
+                    mine = np.flatnonzero((cells >> 32 == at) & (probes == probe))
+                    rest, wide, narrow = balls[at]
+                    masks = narrow if probe else wide
+                    value = ((fps[mine] & np.uint64(rest))[:, None] ^ masks).ravel()
+                    arrays = (np.repeat(cells[mine], len(masks)), value.view(np.int64), np.repeat(fps[mine], len(masks)).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["cell", "value", "fp"])
+
+    shared = map_arrow(rows.select("cell", "probe", "fp"), run, "cell long, value long, fp long")
+    held = shared.groupBy("cell", "value").agg(F.collect_set("fp").alias("x")).where(F.size("x") > 1)
+    return held.select(F.explode("x").alias("a"), F.array_min("x").alias("b")).where("a <> b")
+
+
+def links(nodes: DataFrame, limit: int = DISTANCE, crowded: int = CROWDED) -> DataFrame:
     """a, b: links whose components are those of all pairs of distinct fingerprints at ``limit`` or fewer bits."""
+    if limit != DISTANCE:
+        raise ValueError("the segments are cut for a distance of 4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -174,14 +228,16 @@ def links(nodes: DataFrame, limit: int = DISTANCE) -> DataFrame:
         if held:
             yield from solve(pa.Table.from_batches(held))
 
-    dealt = _dealt(nodes).repartition("cell").sortWithinPartitions("cell", "probe")
-    return map_arrow(dealt, run, "a long, b long").distinct()
+    hot = _crowded_cells(nodes, crowded)
+    dealt = _dealt(nodes).join(hot, "cell", "left_anti")
+    found = map_arrow(dealt.repartition("cell").sortWithinPartitions("cell", "probe"), run, "a long, b long")
+    if not hot.isEmpty():
+        found = found.union(_linked_around(_dealt(nodes).join(hot, "cell", "left_semi")))
+    return found.distinct()
 
 
 def _assigned(docs: DataFrame, words: int, seed: int, limit: int) -> DataFrame:
     """doc_id, fp, root (the least fingerprint of the component), component_id of every row."""
-    if limit != DISTANCE:
-        raise ValueError("the segments are cut for a distance of 4")
     marked = materialize(fingerprints(docs, words, seed))
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = materialize(components(links(nodes.select("fp"), limit)))
@@ -198,7 +254,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, seed: int = SEED, limit
     doc_id of their component. Null and empty texts have fingerprint 0 and are linked like any
     other. A null doc_id is linked but never names a component, unless no other id is in it.
     Repeated rows stay. Only distinct fingerprints are compared: at most one row of each enters a
-    cell, so copies cost nothing, and what can crowd a cell is bounded by the bits that remain.
+    cell, so copies cost nothing, and cells that many near-copies crowd are dealt again.
     """
     return _assigned(docs, words, seed, limit).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"

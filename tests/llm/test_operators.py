@@ -171,7 +171,8 @@ def test_one_row_of_each_class_stays(docs):
     assert sorted(x.doc_id for x in kept.collect() if x.doc_id is not None) == sorted(expected)
 
 
-def test_links_of_planted_fingerprints(spark):
+@pytest.mark.parametrize("crowded", [simhash.CROWDED, 2])
+def test_links_of_planted_fingerprints(spark, crowded):
     rng = random.Random(5)
     fps = [rng.getrandbits(64) for _ in range(300)]
     near = []
@@ -184,7 +185,7 @@ def test_links_of_planted_fingerprints(spark):
                 near.append(other)
     all_ = sorted(set(fps + near))
     signed = [x - (1 << 64) if x >> 63 else x for x in all_]
-    found = components(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long")))
+    found = components(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), crowded=crowded))
     root = {r.node: r.root for r in found.collect()}
     classes = simhash_classes(list(zip(signed, all_)))
     expected = collections.defaultdict(set)
