@@ -35,10 +35,13 @@ BUCKETS = 256
 FULLNESS, PROGRESS, TAIL = 0.999, 0.02, 8
 #: Words that a worker remembers.
 MEMO_WORDS = 600_000
+#: New word parts that are encoded as one text.
+JOINED = 2_000
 
 # The pre-tokens inside a word without white space, and the characters for which
 # lower-casing and white space are the same in the tokenizer and here.
 WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
 PLAIN = r"[\u0009-\u000d -\u007f -˿]*"
 
 
@@ -48,26 +51,44 @@ class Memo(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         from tokenizers.normalizers import Sequence
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+        from tokenizers.pre_tokenizers import Sequence as Steps
 
         super().__init__()
         self.tokenizer = load(path)[0]
-        # For words that are normalised and split already.
+        # For words that are normalised and split already, many in a text with spaces between.
         self.inner = Tokenizer.from_file(path)
         self.inner.normalizer = Sequence([])
-        self.inner.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.inner.pre_tokenizer = Steps(
+            [CharDelimiterSplit(" "), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.split = regex.compile(WORD_PARTS).findall
+        ids = self.inner.get_vocab()
+        self.closes = np.zeros(max(ids.values()) + 1, dtype=bool)  # the ids that end a word
+        self.closes[[k for token, k in ids.items() if token.endswith(WORD_END)]] = True
 
     def learn(self, words: set[str]) -> None:
         """Take in the words that are not known yet."""
-        split = {w: self.split(w) for w in words if w not in self}
-        parts = list({p for found in split.values() for p in found if p not in self})
-        made = self.inner.encode_batch_fast(parts, add_special_tokens=False)
-        self.update(zip(parts, (np.array(x.ids, dtype="<u4").tobytes() for x in made)))
+        new = [w for w in words if w not in self]
+        split = {w: self.split(w) for w in new if not w.isalpha()}
+        parts = {w for w in new if w.isalpha()}
+        parts.update(p for found in split.values() for p in found if p not in self)
+        parts = list(parts)
+        for lo in range(0, len(parts), JOINED):
+            some = parts[lo : lo + JOINED]
+            self.update(zip(some, self.encoded(some), strict=True))
         for word, found in split.items():
             if len(found) != 1:
                 self[word] = b"".join([self[p] for p in found])
 
+    def encoded(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part: the parts are encoded as one text, whose ids are cut at the ends of words."""
+        made = self.inner.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
+        ids = np.array(made, dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+        held = ids.tobytes()
+        return [held[a:b] for a, b in zip([0, *ends], ends)]
+
 
 @lru_cache(maxsize=2)
 def _memo(path: str) -> Memo:
