@@ -2,7 +2,8 @@
 
 Words and signs of a text, single and in pairs, are hashed into BUCKETS bins. Two multinomials
 over the bins, of the trusted texts and of the raw corpus, give each text the mean logarithm of
-their ratio over its n-grams. Texts below a fixed threshold are rejected, whatever else comes.
+their ratio over its n-grams. The trusted one has a Dirichlet prior of the raw one, so that thin
+evidence rejects nothing. Texts below a fixed threshold are rejected, whatever else comes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ BUCKETS = 1 << 16
 THRESHOLD = -0.35
 #: Share of the raw multinomial in the trusted one, which bounds what an unseen n-gram can weigh.
 SMOOTHING = 0.01
+#: Pseudo-counts of the trusted multinomial, dealt out as the raw one: one for each bin on average.
+PRIOR = BUCKETS
 SYMBOLS = b"#*$%&|<>"
 _PARTS = re.compile(r"\w+|[^\w\s]+").findall
 _NOT_SYMBOLS = bytes(b for b in range(256) if b not in SYMBOLS)
@@ -108,7 +111,7 @@ def ratios(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
     if not trusted.sum() or not raw.sum():
         return np.zeros(len(raw))
     q = (raw + 1) / (raw.sum() + len(raw))
-    p = (1 - SMOOTHING) * (trusted + q) / (trusted.sum() + 1) + SMOOTHING * q
+    p = (1 - SMOOTHING) * (trusted + PRIOR * q) / (trusted.sum() + PRIOR) + SMOOTHING * q
     return np.log(p / q)
 
 

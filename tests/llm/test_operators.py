@@ -473,3 +473,21 @@ def test_quality_tells_labelled_texts_apart(spark):
     judged = quality.judge(table(spark, "/root/testdata/sf0.01", "documents"), labels.where("quality = 1"))
     known = judged.join(labels, "doc_id").where("not base_failed").collect()
     assert all(x.kept == bool(x.quality) for x in known)
+
+
+@pytest.mark.parametrize(("sf", "bad_found"), [("sf0.001", 0), ("sf0.01", 27)])
+def test_quality_keeps_good_texts_outside_the_fit(spark, sf, bad_found):
+    labels = table(spark, f"/root/testdata/{sf}", "labels")
+    judged = quality.judge(table(spark, f"/root/testdata/{sf}", "documents"), labels.where("quality = 1 and doc_id % 2 = 0"))
+    known = judged.join(labels, "doc_id").where("not base_failed").collect()
+    good = [x.kept for x in known if x.quality == 1 and x.doc_id % 2]
+    assert len(good) > 30 and all(good)
+    assert sum(not x.kept for x in known if x.quality == 0) >= bad_found
+
+
+def test_quality_of_thin_evidence():
+    raw = np.full(quality.BUCKETS, 1000)
+    few, many = np.zeros(quality.BUCKETS, dtype=int), np.zeros(quality.BUCKETS, dtype=int)
+    few[:100], many[:100] = 1, 10**6
+    assert quality.ratios(few, raw)[100:].min() > -0.01
+    assert quality.ratios(many, raw)[100:].max() < -4
