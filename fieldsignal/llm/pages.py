@@ -59,7 +59,9 @@ LABELLED = [
 ]
 # Tags without text, tags that cut blocks, tags of other parts of a page, void tags,
 # and words in class, id or role that name such parts.
-SILENT = "script style noscript template head title svg math iframe object select option textarea button canvas audio video".split()
+SILENT = set("noscript template title svg math iframe object select textarea button canvas audio video".split())
+#: Tags that can stand in a head; any other one ends it.
+IN_HEAD = SILENT | set("html head meta link base script style".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup p pre section summary table"
@@ -75,13 +77,29 @@ NAMED = re.compile(
     re.I,
 )
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(SILENT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/!?a-zA-Z][^>]*>?",
     re.S | re.I,
 )
 _NAMES = re.compile(r"(?:\s|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Closing one of these closes what is open inside it; an opened one closes an open one of its own.
-_SELF_CLOSING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
+_SELF_CLOSING = {"p", "li", "dt", "dd", "tr", "td", "th"}
+
+
+def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
+    """The ends of the silent elements that are closed, by the starts of their opening tags."""
+    opened: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for token in tokens:
+        tag = (token.group(3) or "").lower()
+        if tag not in SILENT:
+            continue
+        if not token.group(2):
+            if not (tag in ("svg", "math") and token.group(4).endswith("/")):
+                opened.setdefault(tag, []).append(token.start())
+        elif opened.get(tag):
+            ends[opened[tag].pop()] = token.end()
+    return ends
 
 
 def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
@@ -106,10 +124,15 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
             parts.clear()
         linked = 0
 
+    tokens = list(_TOKEN.finditer(html))
+    ends = silent_ends(tokens)
     at = 0
-    for token in _TOKEN.finditer(html):
+    head = mute = False  # mute: up to the next tag
+    for token in tokens:
         start = token.start()
-        if start > at:
+        if start < at:
+            continue
+        if start > at and not (head or mute):
             text = html[at:start]
             parts.append(text)
             if anchors:
@@ -119,6 +142,17 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
         if tag is None:
             continue
         tag = tag.lower()
+        mute = False
+        if tag == "head":
+            head = not token.group(2)
+            continue
+        head = head and (bool(token.group(2)) or tag in IN_HEAD)
+        if tag in SILENT or tag == "option":
+            if not token.group(2) and not (tag in ("svg", "math") and token.group(4).endswith("/")):
+                # Without its closing tag the element, as an option always, ends at the next tag.
+                at = ends.get(start, at)
+                mute = start not in ends
+            continue
         if token.group(2):
             if tag in BLOCKS:
                 flush()
@@ -155,7 +189,7 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
             aside = True
         standing[tag] = standing.get(tag, 0) + 1
         stack.append((tag, article, heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6"), aside))
-    if at < len(html):
+    if at < len(html) and not (head or mute):
         parts.append(html[at:])
         if anchors:
             linked += len("".join(unescape(html[at:]).split()))

@@ -491,3 +491,22 @@ def test_quality_of_thin_evidence():
     few[:100], many[:100] = 1, 10**6
     assert quality.ratios(few, raw)[100:].min() > -0.01
     assert quality.ratios(many, raw)[100:].max() < -4
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<html><head><title>T</title><meta charset=x><body><p>One</p>", ["One"]),
+        ("<head><title>T</title><script>'<p>'</script>stray<p>One</p><p>Two</p>", ["One", "Two"]),
+        ("<head><title>T</title>stray</head>One<p>Two", ["One", "Two"]),
+        ("<p>One <svg width='1' />more</p><p>Two</p><svg><text>x</text></svg>Three", ["One more", "Two", "Three"]),
+        ("<p>One</p><datalist><option>a<option>b</datalist><p>Two</p>", ["One", "Two"]),
+        ("<select><option>a<option>b</select><p>Two</p>", ["Two"]),
+        ("<button>go<p>One</p><button>go</button><p>Two</p>", ["One", "Two"]),
+        ("<object><object>a</object>b</object><p>One</p>", ["One"]),
+        ("<p>One</p><!-- <svg> <p>Two</p>", ["One"]),
+        ("<p>One</p><style>p {} <p>Two</p>", ["One"]),
+    ],
+)
+def test_silent_elements_end(html, expected):
+    assert [text for text, _ in pages.blocks(html)] == expected
