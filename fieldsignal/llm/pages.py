@@ -49,6 +49,13 @@ LABELLED = [
     (80, 0.1, 40, 0.0, 12, 0.0, 1, 0, 1, 0), (3, 0.0, 40, 0.0, 25, 0.0, 0, 1, 1, 0),
     (4, 0.0, 55, 0.0, 30, 0.0, 1, 1, 1, 0), (110, 0.0, 90, 0.0, 70, 0.0, 0, 0, 1, 0),
     (2, 0.5, 5, 0.0, 4, 0.0, 1, 0, 1, 0), (9, 0.0, -1, 0.0, 85, 0.0, 0, 0, 1, 0),
+    # long unlinked text of an article inside a wrapper that is named as something else
+    (160, 0.0, 120, 0.0, 140, 0.0, 1, 0, 1, 1), (220, 0.0, 60, 0.0, -1, 0.0, 1, 0, 1, 1),
+    (180, 0.02, 5, 0.0, 90, 0.0, 1, 0, 1, 1), (300, 0.0, -1, 0.0, -1, 0.0, 1, 0, 1, 1),
+    # long text named as something else outside an article, and long linked text in one
+    (160, 0.0, 120, 0.0, 140, 0.0, 0, 0, 1, 0), (220, 0.0, 60, 0.0, -1, 0.0, 0, 0, 1, 0),
+    (180, 0.02, 5, 0.0, 90, 0.0, 0, 0, 1, 0), (300, 0.0, -1, 0.0, -1, 0.0, 0, 0, 1, 0),
+    (170, 0.7, 90, 0.0, 40, 0.0, 1, 0, 1, 0), (240, 0.5, 3, 0.0, 70, 0.0, 1, 0, 1, 0),
     # short or linked leftovers outside an article
     (1, 1.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 4, 0.9, 2, 1.0, 0, 0, 0, 0),
     (6, 0.5, 5, 0.3, 4, 0.6, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
@@ -68,14 +75,24 @@ BLOCKS = set(
     " tbody td tfoot th thead tr ul".split()
 )
 ASIDES = set("nav footer aside form header menu dialog fieldset".split())
+#: An article inside one of these is not reset to text.
+APART = ("article", "nav", "footer", "aside", "menu", "dialog")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|banner|"
+_PARTS = (
+    r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|banner|"
     r"cookies?|consent|notice|alert|popup|modal|overlay|ads?|advert|adverts|advertisement|advertising|sponsor|sponsored|"
     r"promo|promotion|newsletter|subscribe|signup|login|search|form|social|share|sharing|related|recommended|comments?|"
-    r"respond|replies|reply|disqus|pagination|pager|toolbar|copyright|legal|complementary|contentinfo)(?:$|[\s_-])",
-    re.I,
+    r"respond|replies|reply|disqus|pagination|pager|toolbar|copyright|legal|complementary|contentinfo"
 )
+# A name says so by itself or by its last part, places, kinds of boxes and numbers aside, unless it tells what a
+# wrapper has or lacks, or its topic.
+_STATE = r"(?!(?:has|have|no|not|with|without|is|show|hide|category|tag|topic)[_-])"
+_PLACE = (
+    r"(?:[_-](?:left|right|top|bottom|list|items?|links?|slot|unit|box|area|bar|body|"
+    r"text|title|posts|articles|buttons?|icons?|widgets?|container|wrapper|wrap|inner|\d+))*"
+)
+NAMED = re.compile(rf"(?<!\S){_STATE}(?:\S*[_-])?({_PARTS}){_PLACE}(?!\S)", re.I)
+_COMMENT = re.compile(rf"(?<!\S){_STATE}(?:\S*[_-])?(?:comments?|reply|replies){_PLACE}(?!\S)", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)(?![\w:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/!?a-zA-Z][^>]*>?",
@@ -181,9 +198,16 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
             standing[stack.pop()[0]] -= 1
         _, article, heading, aside = stack[-1] if stack else ("", False, False, False)
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(token.group(4)))
-        if tag in ("article", "main"):
-            article, aside = True, aside and tag == "article"
-        elif tag not in ("html", "body") and NAMED.search(names):
+        if tag == "main":
+            article, aside = True, False
+        elif tag == "article":
+            # It is the text of whatever its wrappers are named, but not one beside the text of another
+            # article, in a part that a tag sets apart, or a comment.
+            kept = aside and any(standing.get(x) for x in APART)
+            article, aside = True, kept or bool(_COMMENT.search(names))
+        elif tag not in ("html", "body") and any(
+            not (article and x.lower() == "header") for x in NAMED.findall(names)
+        ):
             aside = True
         elif tag in ASIDES and not (tag == "header" and article):
             aside = True

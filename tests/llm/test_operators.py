@@ -510,3 +510,35 @@ def test_quality_of_thin_evidence():
 )
 def test_silent_elements_end(html, expected):
     assert [text for text, _ in pages.blocks(html)] == expected
+
+
+LONG = "The river rose by two metres in the night and the village had to leave its houses before the morning came."
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "share-enabled", "sidebar-right", "sidebar"])
+@pytest.mark.parametrize("outer", ["", "<main>"])
+def test_wrappers_of_an_article_are_not_asides(spark, name, outer):
+    page = f"{outer}<div class='{name}'><article><header class='entry-header'><h1>The flood</h1></header><p>{LONG}</p></article></div>"
+    frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert pages.extract(frame, pages.train(spark)).first().text == f"The flood\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div class='left-sidebar'>{}</div>", "<div class='comment-list'>{}</div>", "<div id=ad-1>{}</div>",
+        "<aside><article>{}</article></aside>", "<div class=comments><article class='comment-body'>{}</article></div>",
+        "<article><p>Text</p><div class='related-posts'><article>{}</article></div></article>",
+        "<div role=navigation>{}</div>", "<div class='site-header'>{}</div>", "<form>{}</form>",
+    ],
+)
+def test_other_parts_stay_asides(part):
+    found = [f for text, f in pages.blocks("<p>One</p>" + part.format("Other words") + "<p>Two</p>") if text == "Other words"]
+    assert [f[4] for f in found] == [True]
+
+
+def test_long_text_of_a_named_part_of_an_article(spark):
+    page = f"<article><h1>The flood</h1><div class='widget'><p>{LONG * 10}</p></div><div class='widget'><p>Buy this</p></div></article>"
+    page += f"<div class='cookie-notice'><p>{LONG * 10}</p></div>"
+    frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert pages.extract(frame, pages.train(spark)).first().text == f"The flood\n{LONG * 10}"
