@@ -33,6 +33,8 @@ BUCKETS = 256
 #: How full a pattern must be to be taken, the share of what is left that a solution must pack for
 #: another to follow, and the sequences' worth of pieces that are filled longest first in any case.
 FULLNESS, PROGRESS, TAIL = 0.999, 0.02, 8
+#: Distinct lengths of a rest that is packed by the exact program at most, and its simplex steps.
+EXACT_LENGTHS, STEPS = 256, 600
 #: Words that a worker remembers.
 MEMO_WORDS = 600_000
 #: New word parts that are encoded as one text.
@@ -188,6 +190,59 @@ def _fractional(counts: np.ndarray, capacity: int) -> list[tuple[float, dict[int
     return [(x / scale, p) for x, p in zip(amounts, patterns)]
 
 
+def _exact(counts: np.ndarray, capacity: int) -> list[tuple[float, dict[int, int]]]:
+    """Patterns with their amounts: the covering program by simplex steps, columns priced as they are needed.
+
+    Any step leaves a solution, so their bound only ends the improvement.
+    """
+    present = np.flatnonzero(counts)
+    rows = {int(length): k for k, length in enumerate(present)}
+    basis = [{int(length): capacity // int(length)} for length in present]
+    inverse = np.diag([1.0 / (capacity // int(length)) for length in present])
+    amounts = inverse @ counts[present]
+    values = np.full(capacity + 1, -np.inf)
+    for _ in range(STEPS):
+        dual = inverse.sum(axis=0)
+        values[present] = np.maximum(dual, 0)
+        best = price(values, capacity)
+        worth = values[present] + best[capacity - present]
+        if worth.max() <= 1 + 1e-5:
+            break
+        pattern = _pattern(values, best, int(present[worth.argmax()]), capacity)
+        column = np.zeros(len(present))
+        for length, times in pattern.items():
+            column[rows[length]] = times
+        if dual @ column <= 1 + 1e-6:
+            break
+        step = inverse @ column
+        ratio = np.where(step > 1e-9, amounts / np.where(step > 1e-9, step, 1), np.inf)
+        out = int(ratio.argmin())
+        moved = ratio[out]
+        amounts = np.maximum(amounts - moved * step, 0)
+        amounts[out] = moved
+        pivot = inverse[out] / step[out]
+        inverse -= np.outer(step, pivot)
+        inverse[out] = pivot
+        basis[out] = pattern
+    return list(zip(amounts.tolist(), basis))
+
+
+def _finish(left: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """The better of two fillings of what is left: longest first, or the rounded program and then longest first."""
+    filled = _fill(left.copy(), capacity)
+    if not 0 < np.count_nonzero(left) <= EXACT_LENGTHS:
+        return filled
+    chosen, rest = [], left.copy()
+    for amount, pattern in sorted(_exact(left, capacity), key=lambda x: -x[0]):
+        n = _take(pattern, math.floor(amount + 1e-6), rest)
+        if n:
+            chosen.append((n, pattern))
+            for length, times in pattern.items():
+                rest[length] -= n * times
+    chosen += _fill(rest, capacity)
+    return min(filled, chosen, key=lambda x: sum(n for n, _ in x))
+
+
 def _take(pattern: dict[int, int], wanted: int, left: np.ndarray) -> int:
     return min(wanted, *(int(left[length]) // times for length, times in pattern.items()))
 
@@ -197,7 +252,8 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, dict[i
 
     counts[l] is the number of pieces of l tokens. A solution is rounded up, pattern by pattern, as
     far as pieces are left, and what is left is solved again while that packs a part of it. The
-    tail is filled longest first.
+    rest, which has no full patterns, is packed by the exact program or longest first, whichever
+    takes fewer sequences.
     """
     left, chosen = counts.astype(np.int64).copy(), []
     if left[capacity]:
@@ -216,7 +272,7 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, dict[i
                     left[length] -= n * times
         if (left * lengths).sum() > (1 - PROGRESS) * before:
             break
-    return chosen + _fill(left, capacity)
+    return chosen + _finish(left, capacity)
 
 
 def _fill(left: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:

@@ -542,3 +542,15 @@ def test_long_text_of_a_named_part_of_an_article(spark):
     page += f"<div class='cookie-notice'><p>{LONG * 10}</p></div>"
     frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
     assert pages.extract(frame, pages.train(spark)).first().text == f"The flood\n{LONG * 10}"
+
+
+@pytest.mark.parametrize("m", [1, 7, 10**6])
+def test_packing_plan_of_patterns_that_are_not_full(m):
+    counts = np.zeros(4097, dtype=int)
+    counts[[2056, 1042, 1032, 1002]] = 6 * m, 6 * m, 6 * m, 12 * m
+    held, chosen = np.zeros(4097, dtype=int), packing.plan(counts)
+    for times, pattern in chosen:
+        assert sum(length * k for length, k in pattern.items()) <= 4096
+        for length, k in pattern.items():
+            held[length] += times * k
+    assert (held == counts).all() and sum(k for k, _ in chosen) == 9 * m
