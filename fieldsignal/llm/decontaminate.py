@@ -126,7 +126,7 @@ def search(texts: list[bytes], bench: Benchmark):
     hits = np.zeros(len(words) + 1, dtype=np.int64)
     none = np.zeros(0, dtype=np.int64)
     if not len(bench.starts):
-        return sizes, hits, ends, none, none, none, none, words, none
+        return sizes, hits[: len(words)] > 0, ends, none, none, none, none, words, none
     # Suffixes whose first words, as many as the shortest window, stand nowhere in the benchmark match no window.
     size = min(bench.shortest, 4)
     admitted = words[: len(words) - pad] > 0

@@ -554,3 +554,12 @@ def test_packing_plan_of_patterns_that_are_not_full(m):
         for length, k in pattern.items():
             held[length] += times * k
     assert (held == counts).all() and sum(k for k, _ in chosen) == 9 * m
+
+
+def test_contamination_with_a_block_without_words(spark):
+    items = [(1, "one two three"), (2, "!"), (3, "four five")]
+    docs = spark.createDataFrame([(1, "zero one two three four five"), (2, "none of it"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    found = decontaminate.find_contamination(docs, bench, 1)
+    assert rows_of(found) == sorted(contamination(docs, items), key=str)
+    assert [x.doc_id for x in decontaminate.remove_contaminated(docs, bench, 1).orderBy("doc_id").collect()] == [2, 3]
