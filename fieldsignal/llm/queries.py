@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldsignal.llm import (
-    decontaminate, licenses, packing, pages, quality, simhash, suffixdedup, tokens, toxicity, urls,
+    clusters, decontaminate, lexical, licenses, packing, pages, quality, simhash, suffixdedup, tokens, toxicity, urls,
 )
 from fieldsignal.llm.common import table
 
@@ -62,11 +62,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_license_scan, op3_decontamination, op4_html_extraction, op5_url_filter,
-        op6_packing, op7_toxicity, op8_quality_rules, op9_suffix_dedup, op10_simhash,
+        op6_packing, op7_toxicity, op8_quality_rules, op9_suffix_dedup, op10_simhash, op11_clusters,
+        op12_lexical_search,
     )
 }
 
@@ -153,8 +163,61 @@ def _url_sql() -> str:
     """
 
 
+def _clusters_sql() -> str:
+    k, dim = clusters.CENTROIDS, clusters.DIM
+    steps = []
+    for r in range(clusters.ROUNDS + 1):
+        steps.append(f"""
+    far{r} AS (SELECT nr, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+               FROM parts v JOIN c{r} c USING (place) GROUP BY nr, cluster),
+    near{r} AS (SELECT nr, cluster, distance FROM far{r}
+                QUALIFY row_number() OVER (PARTITION BY nr ORDER BY distance, cluster) = 1)""")
+        if r < clusters.ROUNDS:
+            steps.append(f"""
+    sums{r} AS (SELECT cluster, place, sum(x)::BIGINT AS total, count(*) AS n FROM near{r} JOIN parts USING (nr) GROUP BY cluster, place),
+    c{r + 1} AS (SELECT cluster, place, CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE x END AS x
+                 FROM c{r} LEFT JOIN sums{r} USING (cluster, place))""")
+    last = clusters.ROUNDS
+    return f"""
+    WITH kept AS (
+        SELECT row_number() OVER () AS nr, vec_id, sha256('1:' || vec_id) AS key,
+               list_transform(embedding, lambda x: floor({clusters.SCALE} * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+    parts AS (SELECT nr, unnest(v) AS x, unnest(range({dim})) AS place FROM kept),
+    c0 AS (SELECT number AS cluster, unnest(v) AS x, unnest(range({dim})) AS place
+           FROM (SELECT v, row_number() OVER (ORDER BY key) - 1 AS number FROM kept QUALIFY number < {k})),
+    {",".join(steps)},
+    hashes AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM c{last} GROUP BY cluster)
+    SELECT vec_id, cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+    FROM near{last} JOIN kept USING (nr) JOIN hashes USING (cluster)
+    """
+
+
+def _lexical_sql() -> str:
+    return f"""
+    WITH texts AS (SELECT row_number() OVER () AS nr, doc_id, {_WORDS} AS w FROM documents),
+    tf AS (SELECT nr, doc_id, term, count(*) AS tf FROM (SELECT nr, doc_id, unnest(w) AS term FROM texts) GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    sizes AS (SELECT nr, len(w) AS n FROM texts WHERE len(w) > 0),
+    totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+    items AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+    scores AS (
+        SELECT item_id, nr, doc_id,
+               sum(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+                   * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM items JOIN tf USING (term) JOIN df USING (term) JOIN sizes USING (nr), totals
+        GROUP BY item_id, nr, doc_id)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= {lexical.TOP}
+    """
+
+
 SQL = {
     "op2_license_scan": _license_sql(),
     "op3_decontamination": _decontamination_sql(),
     "op5_url_filter": _url_sql(),
+    "op11_clusters": _clusters_sql(),
+    "op12_lexical_search": _lexical_sql(),
 }
