@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldsignal.llm import (
     clusters, decontaminate, lexical, licenses, packing, pages, quality, simhash, suffixdedup, tokens, toxicity, urls,
+    worddedup,
 )
 from fieldsignal.llm.common import table
 
@@ -71,12 +72,17 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = worddedup.remove_repeated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_license_scan, op3_decontamination, op4_html_extraction, op5_url_filter,
         op6_packing, op7_toxicity, op8_quality_rules, op9_suffix_dedup, op10_simhash, op11_clusters,
-        op12_lexical_search,
+        op12_lexical_search, op13_substring_dedup,
     )
 }
 
@@ -214,10 +220,28 @@ def _lexical_sql() -> str:
     """
 
 
+def _word_dedup_sql() -> str:
+    n = worddedup.WINDOW
+    return rf"""
+    WITH texts AS (SELECT row_number() OVER () AS nr, doc_id,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    places AS (SELECT nr, w, unnest(range(1, len(w) - {n - 2})) AS i FROM texts WHERE len(w) >= {n}),
+    windows AS (SELECT nr, i, array_to_string(w[i:i + {n - 1}], ' ') AS win FROM places),
+    again AS (SELECT nr, i FROM windows QUALIFY count(*) OVER (PARTITION BY win) > 1),
+    gone AS (SELECT DISTINCT nr, unnest(range(i, i + {n})) AS k FROM again),
+    words AS (SELECT nr, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM texts),
+    kept AS (SELECT nr, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept
+             FROM words ANTI JOIN gone USING (nr, k) GROUP BY nr)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM texts LEFT JOIN kept USING (nr)
+    """
+
+
 SQL = {
     "op2_license_scan": _license_sql(),
     "op3_decontamination": _decontamination_sql(),
     "op5_url_filter": _url_sql(),
     "op11_clusters": _clusters_sql(),
     "op12_lexical_search": _lexical_sql(),
+    "op13_substring_dedup": _word_dedup_sql(),
 }
