@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from fieldsignal.llm.common import longs, map_arrow, utf8
 
 BUCKETS = 1 << 16
+#: Trusted texts that are learned from at most.
+TRUSTED_ROWS = 20_000
 #: The least mean log-likelihood ratio of an n-gram, in nats, of a text that is kept.
 THRESHOLD = -0.35
 #: Share of the raw multinomial in the trusted one, which bounds what an unseen n-gram can weigh.
@@ -87,23 +89,37 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < 50 or 100 * n_repeat_words > 50 * n_words
 
 
-def corpus_bins(docs: DataFrame) -> np.ndarray:
-    """How often each bin stands in all texts: partial counts of a task are summed, BUCKETS at most come back."""
+def corpus_bins(docs: DataFrame, trusted: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bin stands in the trusted texts and in all: one pass, no text leaves its task.
+
+    Partial counts of a task are summed, BUCKETS at most come back.
+    """
+    spark = docs.sparkSession
+    ids = trusted.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    known = spark.sparkContext.broadcast({row["doc_id"] for row in ids.collect()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, memo = np.zeros(BUCKETS, dtype=np.int64), Bins()
+        total, memo = np.zeros((2, BUCKETS), dtype=np.int64), Bins()
         for batch in batches:
-            held = [bins(x.decode(), memo) for x in utf8(batch.column(0))]
-            if held:
-                total += np.bincount(np.concatenate(held), minlength=BUCKETS)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([longs(found), longs(total[found])], names=["bin", "n"])
+            held: tuple[list, list] = [], []
+            for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                held[doc_id not in known.value].append(bins(raw.decode(), memo))
+            for k in (0, 1):
+                if held[k]:
+                    total[k] += np.bincount(np.concatenate(held[k]), minlength=BUCKETS)
+        total[1] += total[0]
+        found = np.flatnonzero(total[1])
+        yield pa.RecordBatch.from_arrays(
+            [longs(found), longs(total[0, found]), longs(total[1, found])], names=["bin", "n_trusted", "n"]
+        )
 
-    counted = map_arrow(docs.select("text"), run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
-    out = np.zeros(BUCKETS, dtype=np.int64)
-    for row in counted.collect():
-        out[row["bin"]] = row["n"]
-    return out
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    counted = map_arrow(texts, run, "bin long, n_trusted long, n long").groupBy("bin")
+    out = np.zeros((2, BUCKETS), dtype=np.int64)
+    for row in counted.agg(F.sum("n_trusted").alias("n_trusted"), F.sum("n").alias("n")).collect():
+        out[:, row["bin"]] = row["n_trusted"], row["n"]
+    return out[0], out[1]
 
 
 def ratios(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -145,25 +161,29 @@ def _judge(weights, threshold: float, at: int, keep_rows: bool):
     return run
 
 
-def _weights(docs: DataFrame, trusted: DataFrame):
+def _weights(docs: DataFrame, trusted: DataFrame, sample_rows: int):
     """The bins' log ratios: all texts of docs against those whose ids are trusted."""
-    ids = trusted.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
-    good = docs.join(ids, "doc_id", "left_semi")
-    return docs.sparkSession.sparkContext.broadcast(ratios(corpus_bins(good), corpus_bins(docs)))
+    return docs.sparkSession.sparkContext.broadcast(ratios(*corpus_bins(docs, trusted, sample_rows)))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def judge(
+    docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, sample_rows: int = TRUSTED_ROWS
+) -> DataFrame:
     """doc_id, the heuristics, base_failed, llr, kept of every row.
 
-    ``trusted`` holds the doc_id of texts of good quality; without any of them every ratio is 0,
-    and the heuristics decide alone. A null text has no words and fails; repeated rows are
-    judged each.
+    ``trusted`` holds the doc_id of texts of good quality, of which ``sample_rows`` at most are
+    learned from: those whose ids hash lowest. All texts count for the raw corpus. Without trusted
+    texts every ratio is 0, and the heuristics decide alone; with very few, as in a corpus of 200
+    texts, no text differs enough from the raw corpus to be rejected. A null text has no words and
+    fails; repeated rows are judged each.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_arrow(texts, _judge(_weights(docs, trusted), threshold, 1, False), f"doc_id long, {JUDGED}")
+    return map_arrow(texts, _judge(_weights(docs, trusted, sample_rows), threshold, 1, False), f"doc_id long, {JUDGED}")
 
 
-def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, all columns, that are kept."""
+def keep_good(
+    docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, sample_rows: int = TRUSTED_ROWS
+) -> DataFrame:
+    """The rows of docs, all columns, that are kept; see ``judge`` for null, empty and repeated ones."""
     at = docs.columns.index("text")
-    return map_arrow(docs, _judge(_weights(docs, trusted), threshold, at, True), docs.schema)
+    return map_arrow(docs, _judge(_weights(docs, trusted, sample_rows), threshold, at, True), docs.schema)

@@ -468,6 +468,35 @@ def test_quality_ratios_by_hand(spark):
     assert judged[0] > 0 > judged[1]
 
 
+@pytest.mark.parametrize("sample_rows", [5, quality.TRUSTED_ROWS])
+def test_quality_verdict_equals_brute_force(spark, docs, sample_rows):
+    """The ratio from counters of n-grams instead of arrays, over the same bins."""
+    trusted = table(spark, SF, "labels").where("quality = 1").select("doc_id")
+    ids = trusted.distinct().selectExpr("doc_id", "xxhash64(doc_id) AS h").orderBy("h", "doc_id").limit(sample_rows)
+    ids = {x.doc_id for x in ids.collect()}
+
+    def grams(text):
+        parts = [xxhash.xxh32_intdigest(x) for x in re.findall(r"\w+|[^\w\s]+", text or "")]
+        pairs = [((a * 0x9E3779B1 ^ b) * 0x85EBCA77 % 2**64) >> 13 for a, b in zip(parts, parts[1:])]
+        return [x % quality.BUCKETS for x in parts + pairs]
+
+    rows = [(x.doc_id, x.text, grams(x.text)) for x in docs.select("doc_id", "text").collect()]
+    raw = collections.Counter(g for _, _, found in rows for g in found)
+    good = collections.Counter(g for i, _, found in rows if i in ids for g in found)
+    n_raw, n_good = sum(raw.values()), sum(good.values())
+
+    def weight(g):
+        q = (raw[g] + 1) / (n_raw + quality.BUCKETS)
+        p = 0.99 * (good[g] + quality.PRIOR * q) / (n_good + quality.PRIOR) + 0.01 * q
+        return np.log(p / q)
+
+    means = sorted((str(i), sum(map(weight, f)) / len(f) if f else 0.0) for i, _, f in rows)
+    judged = quality.judge(docs, trusted, sample_rows=sample_rows).collect()
+    assert [x for _, x in means] == pytest.approx([x for _, x in sorted((str(x.doc_id), x.llr) for x in judged)], abs=1e-9)
+    for x in judged:
+        assert x.kept == (not x.base_failed and x.llr >= quality.THRESHOLD)
+
+
 def test_quality_tells_labelled_texts_apart(spark):
     labels = table(spark, "/root/testdata/sf0.01", "labels")
     judged = quality.judge(table(spark, "/root/testdata/sf0.01", "documents"), labels.where("quality = 1"))
