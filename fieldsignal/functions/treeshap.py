@@ -26,9 +26,10 @@ class Leaf:
 
 
 def leaves_of(nodes: dict[int, tuple], weight: float) -> list[Leaf]:
-    """Leaves of one tree given as id -> (prediction, left, right, feature, threshold, rows)."""
+    """Leaves of one tree given as id -> (prediction, left, right, feature, threshold, rows); the least id is the root."""
     found: list[Leaf] = []
-    total = nodes[0][5]
+    root = min(nodes)
+    total = nodes[root][5]
 
     def walk(node: int, path: dict[int, tuple[float, float, float]]) -> None:
         prediction, left, right, feature, threshold, rows = nodes[node]
@@ -41,7 +42,7 @@ def leaves_of(nodes: dict[int, tuple], weight: float) -> list[Leaf]:
         for child, bounds in ((left, (low, min(high, threshold))), (right, (max(low, threshold), high))):
             walk(child, path | {feature: (*bounds, share * nodes[child][5] / rows)})
 
-    walk(0, {})
+    walk(root, {})
     return found
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldsignal.functions import treeshap
-from fieldsignal.operators.model import Fitted
-from fieldsignal.session import shared_folder, ship_package
+from fieldsignal.operators.model import BoostedTrees, Fitted
+from fieldsignal.session import ship_package
 from fieldsignal.spec import SeriesSpec
 
 
@@ -24,28 +23,22 @@ def sample_rows(df: DataFrame, spec: SeriesSpec, n: int = 500, seed: int = 42) -
     return df.orderBy(order, *spec.keys, spec.index).limit(n)
 
 
-def tree_leaves(fitted: Fitted, spark) -> list[treeshap.Leaf]:
-    """Leaves of the model, read from its saved node table.
+def tree_leaves(model: BoostedTrees) -> list[treeshap.Leaf]:
+    """Leaves of the model: rounds * leaves at most, fixed by the parameters of the fit.
 
-    The table has at most rounds * 2^(depth + 1) rows, fixed by the parameters.
+    The mean label is a leaf of its own, that every row reaches.
     """
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    fitted.trees.save(path)
-    weights = fitted.trees.treeWeights
-    node = F.col("nodeData")
-    rows = (
-        spark.read.parquet(f"{path}/data")
-        .select(
-            "treeID", node["id"], node["prediction"], node["leftChild"], node["rightChild"],
-            node["split"]["featureIndex"], F.try_element_at(node["split"]["leftCategoriesOrThreshold"], F.lit(1)),
-            node["rawCount"],
-        )
-        .collect()
-    )
-    trees: dict[int, dict[int, tuple]] = {}
-    for tree, node_id, *rest in rows:
-        trees.setdefault(tree, {})[node_id] = tuple(rest)
-    return [leaf for tree, nodes in sorted(trees.items()) for leaf in treeshap.leaves_of(nodes, weights[tree])]
+    found = [treeshap.Leaf(model.base, 1.0, (), (), (), ())]
+    for tree in model.trees:
+        nodes = {
+            node: (
+                value, *((2 * node, 2 * node + 1) if node in tree.feature else (-1, -1)),
+                tree.feature.get(node, -1), tree.threshold.get(node), float(tree.rows[node]),
+            )
+            for node, value in tree.value.items()
+        }
+        found += treeshap.leaves_of(nodes, model.step)
+    return found
 
 
 def contributions(df: DataFrame, fitted: Fitted, spec: SeriesSpec) -> DataFrame:
@@ -53,7 +46,7 @@ def contributions(df: DataFrame, fitted: Fitted, spec: SeriesSpec) -> DataFrame:
     value all contributions of a row start from."""
     spark = df.sparkSession
     names = fitted.features
-    leaves = tree_leaves(fitted, spark)
+    leaves = tree_leaves(fitted.model)
     base = treeshap.base_value(leaves)
     keys = [*spec.keys, spec.index]
     schema = T.StructType(

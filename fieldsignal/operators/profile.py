@@ -147,6 +147,18 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(width).cast("long"))
 
 
+def top_features(contributions: DataFrame, spec: SeriesSpec, n: int = 3) -> DataFrame:
+    """``top_features``: per series the ``n`` features of largest mean absolute contribution, joined by commas.
+
+    Contributions are averaged per (series, feature) first, so a series brings as many rows as there are features.
+    """
+    means = contributions.groupBy(*spec.keys, "feature").agg(F.avg(F.abs("contribution")).alias("_mean"))
+    order = Window.partitionBy(*spec.keys).orderBy(F.desc("_mean"), "feature")
+    best = means.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n)
+    ranked = F.sort_array(F.collect_list(F.struct("_rank", "feature")))
+    return best.groupBy(*spec.keys).agg(F.array_join(F.transform(ranked, lambda x: x["feature"]), ", ").alias("top_features"))
+
+
 def run_summary(
     cleaned: DataFrame,
     flagged: DataFrame,
@@ -156,8 +168,10 @@ def run_summary(
     spec: SeriesSpec,
     flag: str,
     labels: str = "source_year",
+    contributions: DataFrame | None = None,
 ) -> DataFrame:
-    """One row of headline figures per series, joined from small per-series reports."""
+    """One row of headline figures per series, joined from small per-series reports; with
+    contributions also the features that matter most."""
     spans = (
         split_spans(splits, spec)
         .groupBy(*spec.keys)
@@ -180,6 +194,7 @@ def run_summary(
         spans,
         test,
         common,
+        *([] if contributions is None else [top_features(contributions, spec)]),
     ):
         report = report.join(part, spec.keys, "left")
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldsignal.operators import (
@@ -641,6 +641,12 @@ def m1_chronological_split(spark, sf):
     return parts.select(*ROW, "event_id", "split")
 
 
+@query
+def m1_pooled_split(spark, sf):
+    """All series cut at the same times."""
+    return split.pooled_split(base.readings(spark, sf), READINGS).select("series_id", "event_id", "split")
+
+
 def _scored(spark, sf) -> DataFrame:
     parts = split.chronological_split(base.readings(spark, sf), READINGS)
     return index.over_chunks(
@@ -688,10 +694,18 @@ def e6_residual_histogram(spark, sf):
 
 # --- model and attribution -------------------------------------------------------------
 
+#: Fitted models by application, tables and what they were fitted on.
+_FITTED: dict[tuple, tuple[model.Fitted, DataFrame]] = {}
+
+
 def _fitted(spark, sf) -> tuple[model.Fitted, DataFrame]:
-    featured, names, label = features.build_features(base.indexed_readings(spark, sf).drop("event_id"), READINGS)
-    splits = materialize(split.chronological_split(featured, READINGS))
-    return model.train(splits, names, label), splits
+    """The default model and its split rows, fitted once per application: the queries below only read it."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _FITTED:
+        featured, names, label = features.build_features(base.indexed_readings(spark, sf).drop("event_id"), READINGS)
+        splits = materialize(split.chronological_split(featured, READINGS))
+        _FITTED[key] = model.train(splits, names, label), splits
+    return _FITTED[key]
 
 
 @query
@@ -702,12 +716,52 @@ def m2_forecast_quality(spark, sf):
     return evaluate.evaluate(scored, ["split"], features.lead_target_name(), "prediction")
 
 
+@query
+def m2_first_tree(spark, sf):
+    """Every node of the first tree over the lags: 31 leaves, grown best-first."""
+
+    def add(padded, w):
+        return padded.withColumns(features.lead_target(w) | features.target_lags(w))
+
+    lagged = index.over_chunks(base.indexed_readings(spark, sf).drop("event_id"), READINGS, 24, 24, add).na.drop()
+    splits = materialize(split.chronological_split(lagged, READINGS))
+    names = [TARGET, *(f"earth_humidity_lag_{k}h" for k in features.TARGET_LAGS)]
+    fitted = model.train(splits, names, features.lead_target_name(), rounds=1, column_sample=1.0)
+    return rounded(fitted.model.node_table(spark).drop("tree"), 6)
+
+
 @query
 def m3_early_stopping(spark, sf):
-    """Validation error per round, and which rounds are kept."""
+    """Train and validation error per trained round, and which rounds are kept."""
     fitted, _ = _fitted(spark, sf)
-    curve = [(i + 1, float(e), i < fitted.best_rounds) for i, e in enumerate(fitted.validation_mse)]
-    return spark.createDataFrame(curve, "round int, validation_mse double, kept boolean")
+    curve = [
+        (i + 1, float(t), float(v), i < fitted.best_rounds)
+        for i, (t, v) in enumerate(zip(fitted.train_mse, fitted.validation_mse))
+    ]
+    return spark.createDataFrame(curve, "round int, train_mse double, validation_mse double, kept boolean")
+
+
+@query
+def m3_stop_rule(spark, sf):
+    """Best round and stop of many error curves at once; here the days of a series and user block are its rounds."""
+    events = base.table(spark, sf, "events")
+    daily = events.groupBy(
+        F.col("event_type").alias("series_id"), base.station_of(F.col("user_id")).alias("station_id"), F.to_date("ts").alias("day")
+    ).agg(F.round(F.avg("value"), 6).alias("error"))
+    order = Window.partitionBy("series_id", "station_id").orderBy("day")
+    curves = daily.withColumn("round", F.row_number().over(order))
+    return model.kept_rounds(curves, ["series_id", "station_id"], 5)
+
+
+@query
+def s12_model_sink(spark, sf):
+    """Whether the model that was saved and loaded again predicts the same for every row."""
+    fitted, splits = _fitted(spark, sf)
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    sinks.save_model(fitted.model, spark, path)
+    scored = model.predict(fitted.model, splits).withColumnRenamed("prediction", "first")
+    again = model.predict(sinks.load_model(spark, path), scored)
+    return again.select(*ROW, "split", (F.col("first") == F.col("prediction")).alias("agrees"))
 
 
 @query
@@ -765,6 +819,12 @@ def x3_importance(spark, sf):
     return rounded(attribute.importance(_stand_in_contributions(spark, sf), 5), 9)
 
 
+@query
+def q10_top_features(spark, sf):
+    """The three most important features of each series, as the run summary names them."""
+    return profile.top_features(_stand_in_contributions(spark, sf), READINGS)
+
+
 @query
 def x4_local_explanation(spark, sf):
     parts = _stand_in_contributions(spark, sf)

@@ -61,17 +61,17 @@ def run(raw: list[DataFrame], spec: SeriesSpec, config: FlowConfig = FlowConfig(
     rebuilt = materialize(reconstruct.attach_reconstruction(with_modes, modes, statistics, spec, t))
 
     featured, names, label = features.build_features(rebuilt, spec, t, config.horizon)
-    splits = materialize(split.chronological_split(featured, spec, config.train_ratio, config.val_ratio))
+    splits = materialize(split.pooled_split(featured, spec, config.train_ratio, config.val_ratio))
     fitted = model.train(splits, names, label, config.boosting)
     scored = materialize(model.predict(fitted.model, splits))
 
     test = scored.where("split = 'test'")
     metrics = evaluate.evaluate(scored, [*spec.keys, "split"], label, "prediction")
-    parts = attribute.contributions(
-        attribute.sample_rows(test, spec, config.explained_rows), fitted, spec
+    parts = materialize(
+        attribute.contributions(attribute.sample_rows(test, spec, config.explained_rows), fitted, spec)
     )
     advised = advise.advisories(test, spec)
-    summary = profile.run_summary(cleaned, flagged, scored, metrics, advised, spec, f"{t}_is_outlier")
+    summary = profile.run_summary(cleaned, flagged, scored, metrics, advised, spec, f"{t}_is_outlier", contributions=parts)
     return FlowResult(
         cleaned, flagged, statistics, rebuilt, splits, fitted,
         evaluate.evaluate(scored, ["split"], label, "prediction"), parts, advised, summary,
@@ -97,4 +97,4 @@ def save(result: FlowResult, out: str, spec: SeriesSpec) -> None:
     sinks.write_csv(attribute.importance(result.contributions), f"{out}/reports/importance", ["rank"])
     sinks.write_metrics(result.metrics, f"{out}/reports/metrics")
     sinks.write_metrics(result.summary, f"{out}/reports/summary")
-    sinks.save_model(result.fitted.model, f"{out}/models/forecast")
+    sinks.save_model(result.fitted.model, result.cleaned.sparkSession, f"{out}/models/forecast")

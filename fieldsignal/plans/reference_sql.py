@@ -593,6 +593,82 @@ MODEL_ROWS = """model_rows AS (SELECT series_id, row_idx, CASE WHEN row_idx < fl
   FROM (SELECT series_id, row_idx - 24 AS row_idx, total - 48 AS n
     FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS total FROM indexed) WHERE row_idx BETWEEN 24 AND total - 25))"""
 SQL["m4_predicted_rows"] = with_(READINGS, INDEXED, MODEL_ROWS) + "SELECT *, true AS predicted FROM model_rows"
+SQL["s12_model_sink"] = with_(READINGS, INDEXED, MODEL_ROWS) + "SELECT *, true AS agrees FROM model_rows"
+SQL["m1_pooled_split"] = with_(
+    READINGS,
+    """times AS (SELECT "timestamp", row_number() OVER (ORDER BY "timestamp") - 1 AS k, count(*) OVER () AS n
+  FROM (SELECT DISTINCT "timestamp" FROM readings))""",
+) + """SELECT series_id, event_id, CASE WHEN k < floor(n * 0.7::DOUBLE) THEN 'train'
+    WHEN k < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split
+FROM readings JOIN times USING ("timestamp")"""
+SQL["m3_stop_rule"] = """WITH daily AS (
+  SELECT event_type AS series_id, 'st' || (user_id // 100)::VARCHAR AS station_id, ts::DATE AS day, round(avg(value), 6) AS error
+  FROM events GROUP BY ALL),
+curves AS (SELECT *, row_number() OVER (PARTITION BY series_id, station_id ORDER BY day) AS round FROM daily),
+seen AS (SELECT *, arg_min(round, error) OVER (
+    PARTITION BY series_id, station_id ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM curves),
+stops AS (SELECT series_id, station_id, coalesce(min(round) FILTER (round - best >= 5), max(round)) AS stop_round
+  FROM seen GROUP BY ALL)
+SELECT series_id, station_id, best::INT AS best_round, stop_round::INT AS stop_round
+FROM stops JOIN seen USING (series_id, station_id) WHERE round = stop_round"""
+
+
+def first_tree(columns: tuple[str, ...], leaves: int = 31, depth: int = 7, least: int = 20) -> str:
+    """A regression tree over ``learn``: every node that can be parted, level by level, then the best ones first."""
+    bound = ", ".join(
+        f"list_sort(list_distinct(quantile_disc({c}, [k / 256 for k in range(1, 256)]))) AS b{k}"
+        for k, c in enumerate(columns)
+    )
+    bins = ", ".join(f"len(list_filter(b{k}, lambda t: t < {c})) AS c{k}" for k, c in enumerate(columns))
+    cells = " UNION ALL ".join(f"SELECT r, g, {k} AS f, c{k} AS b FROM binned" for k in range(len(columns)))
+    at = "CASE f " + " ".join(f"WHEN {k} THEN c{k}" for k in range(len(columns))) + " END"
+    parts = [
+        f"bounds AS MATERIALIZED (SELECT {bound} FROM learn)",
+        "unit AS MATERIALIZED (SELECT pow(2, 23 - ceil(log2(max(abs(y))))) AS u FROM learn)",
+        "whole AS (SELECT *, floor(y * u + 0.5::DOUBLE)::BIGINT AS q FROM learn, unit)",
+        "mean AS MATERIALIZED (SELECT floor(sum(q) / count(*))::BIGINT AS m FROM whole)",
+        f"binned AS MATERIALIZED (SELECT row_number() OVER () AS r, q - m AS g, {bins} FROM whole, mean, bounds)",
+        f"cells AS MATERIALIZED ({cells})",
+        "n0 AS (SELECT r, 1 AS node FROM binned)",
+    ]
+    for d in range(depth):
+        parts += [
+            f"h{d} AS (SELECT node, f, b, count(*) AS k, sum(g)::BIGINT AS s FROM cells JOIN n{d} USING (r) GROUP BY ALL)",
+            f"""w{d} AS (SELECT node, f, b, sum(k) OVER o AS ln, (sum(s) OVER o)::DOUBLE AS ls, sum(k) OVER p AS n,
+    (sum(s) OVER p)::DOUBLE AS s FROM h{d} WINDOW o AS (PARTITION BY node, f ORDER BY b), p AS (PARTITION BY node, f))""",
+            f"""p{d} AS MATERIALIZED (SELECT *, ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n AS gain
+    FROM w{d} WHERE ln >= {least} AND n - ln >= {least}
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) = 1 AND gain > 0)""",
+            f"""n{d + 1} AS MATERIALIZED (SELECT r, 2 * node + CASE WHEN {at} > b THEN 1 ELSE 0 END AS node
+    FROM n{d} JOIN p{d} USING (node) JOIN binned USING (r))""",
+        ]
+    every = " UNION ALL ".join(f"SELECT node, f, b, gain FROM p{d}" for d in range(depth))
+    parts += [f"splits AS MATERIALIZED ({every})", "t0 AS MATERIALIZED (SELECT node FROM splits WHERE node < 0)"]
+    for k in range(1, leaves):
+        parts.append(f"""t{k} AS MATERIALIZED (FROM t{k - 1} UNION ALL (SELECT node FROM splits
+    WHERE (node = 1 OR node // 2 IN (FROM t{k - 1})) AND node NOT IN (FROM t{k - 1}) ORDER BY gain DESC, node LIMIT 1))""")
+    rows = " UNION ALL ".join(f"SELECT node, r FROM n{d}" for d in range(depth + 1))
+    name = "CASE f " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(columns)) + " END"
+    limit = "CASE f " + " ".join(f"WHEN {k} THEN b{k}[b + 1]" for k in range(len(columns))) + " END"
+    parts.append(f"""stats AS (SELECT node, count(*) AS n_rows, sum(g)::DOUBLE / count(*) / any_value(u) AS value
+  FROM ({rows}) JOIN binned USING (r), unit WHERE node = 1 OR node // 2 IN (FROM t{leaves - 1}) GROUP BY node)""")
+    return ",\n".join(parts) + f"""
+SELECT s.node::BIGINT AS node, {name} AS feature, round({limit}, 6) AS threshold, round(gain / (u * u), 6) AS gain,
+  round(value, 6) AS value, n_rows
+FROM stats s LEFT JOIN (FROM splits WHERE node IN (FROM t{leaves - 1})) p ON p.node = s.node, unit, bounds"""
+
+
+TREE_LAGS = (1, 2, 3, 6, 12, 24)
+SQL["m2_first_tree"] = with_(
+    READINGS,
+    INDEXED,
+    "lagged_ AS (SELECT *, lead(earth_humidity, 24) OVER (" + S + ") AS y, "
+    + ", ".join(f"lag(earth_humidity, {k}) OVER ({S}) AS earth_humidity_lag_{k}h" for k in TREE_LAGS)
+    + ", count(*) OVER (PARTITION BY series_id) AS total FROM indexed)",
+    "learn AS MATERIALIZED (SELECT * FROM lagged_ WHERE row_idx BETWEEN 24 AND total - 25"
+    " AND row_idx - 24 < floor((total - 48) * 0.7::DOUBLE))",
+    first_tree(("earth_humidity", *(f"earth_humidity_lag_{k}h" for k in TREE_LAGS))),
+)
 SQL["x2_contributions_add_up"] = with_(READINGS, INDEXED, MODEL_ROWS) + (
     "SELECT series_id, row_idx, true AS agrees FROM model_rows WHERE split = 'test'"
 )
@@ -608,6 +684,9 @@ parts AS (SELECT series_id, row_idx, feature, value, (value - earth_humidity) *
 important AS (SELECT feature, avg(abs(contribution)) AS importance,
     row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank FROM parts GROUP BY 1)"""
 PARTS = (READINGS, INDEXED, LAG_TABLE)
+SQL["q10_top_features"] = with_(*PARTS) + """SELECT series_id, string_agg(feature, ', ' ORDER BY m DESC, feature) AS top_features
+FROM (SELECT series_id, feature, avg(abs(contribution)) AS m FROM parts GROUP BY series_id, feature
+  QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY m DESC, feature) <= 3) GROUP BY series_id"""
 SQL["x3_importance"] = with_(*PARTS) + "SELECT feature, round(importance, 9) AS importance, rank FROM important WHERE rank <= 5"
 SQL["x4_local_explanation"] = with_(*PARTS) + """SELECT series_id, row_idx, least(place, 4) AS rank,
   CASE WHEN count(*) > 1 THEN 'other' ELSE min(feature) END AS feature, round(sum(contribution), 9) AS contribution

@@ -56,6 +56,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote and that nothing reads any more."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    for file in df.inputFiles()[:1]:
+        path = file.rsplit("/", 1)[0]
+        if f"{folder.rstrip('/').split(':')[-1]}/" in path:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldsignal.functions.boosting import Tree
+from fieldsignal.operators.model import BoostedTrees
 from fieldsignal.spec import SeriesSpec
 
 
@@ -40,10 +41,23 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> Non
     metrics.write.mode(mode).json(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """The assembler inside keeps the feature names with the trees."""
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model: BoostedTrees, spark: SparkSession, path: str) -> None:
+    """The nodes as a table, and one row with the feature names, the mean label and the step."""
+    model.node_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    head = [(model.features, model.base, model.step, len(model.trees))]
+    schema = "features array<string>, base double, step double, n_trees int"
+    spark.createDataFrame(head, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+
+
+def load_model(spark: SparkSession, path: str) -> BoostedTrees:
+    head = spark.read.parquet(f"{path}/model").first()
+    place = {name: k for k, name in enumerate(head["features"])}
+    trees = [Tree() for _ in range(head["n_trees"])]
+    # As many rows as the parameters of the fit allow: rounds * (2 * leaves - 1).
+    for r in spark.read.parquet(f"{path}/nodes").collect():
+        tree, node = trees[r["tree"]], r["node"]
+        tree.value[node], tree.rows[node] = r["value"], r["n_rows"]
+        if r["feature"] is not None:
+            tree.feature[node], tree.threshold[node] = place[r["feature"]], r["threshold"]
+            tree.gain[node] = r["gain"]
+    return BoostedTrees(head["features"], head["base"], head["step"], trees)

@@ -67,6 +67,16 @@ def test_split_bounds(spark, n, train, val):
     assert [counts.get(k, 0) for k in ("train", "val", "test")] == [train, val - train, n - val]
 
 
+def test_pooled_split_cuts_all_series_at_the_same_times(spark):
+    late = hours(spark, 100, ("a", "b")).where("series_id = 'a' OR row_idx >= 60")
+    late = late.union(late.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp_ntz")))
+    out = split.pooled_split(late, SPEC)
+    spans = {r.split: r for r in out.groupBy("split").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count("*").alias("n")).collect()}
+    assert spans["train"].hi < spans["val"].lo and spans["val"].hi < spans["test"].lo
+    assert [spans[k].n for k in ("train", "val", "test", None)] == [80, 30, 30, 1]
+    assert split.pooled_split(late.limit(0), SPEC).count() == 0
+
+
 def test_split_is_chronological(spark):
     out = split.chronological_split(hours(spark, 50, ("a", "b")), SPEC)
     spans = {(r.series_id, r.split): r for r in out.groupBy("series_id", "split").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).collect()}
@@ -140,9 +150,10 @@ def test_contributions_match_brute_force():
 def test_model_predicts_and_contributions_add_up(spark, tmp_path):
     featured, names, label = features.build_features(hours(spark, 400, ("a", "b")), SPEC)
     splits = split.chronological_split(featured, SPEC).cache()
-    params = model.BoostingParams(rounds=4, depth=3, patience=2)
+    params = model.BoostingParams(rounds=4, depth=3, patience=4, step=0.3)
     fitted = model.train(splits, names, label, params)
     assert fitted.features == names and 1 <= fitted.best_rounds <= 4 == len(fitted.validation_mse)
+    assert fitted.train_mse[-1] < fitted.train_mse[0]
     test = splits.where("split = 'test'")
     scored = model.predict(fitted.model, test)
     parts = attribute.contributions(test, fitted, SPEC)
@@ -157,8 +168,8 @@ def test_model_predicts_and_contributions_add_up(spark, tmp_path):
     assert sums.where("n <> 5").count() == 0
     from fieldsignal.sources import sinks
 
-    sinks.save_model(fitted.model, str(tmp_path / "model"))
-    again = model.predict(sinks.load_model(str(tmp_path / "model")), test)
+    sinks.save_model(fitted.model, spark, str(tmp_path / "model"))
+    again = model.predict(sinks.load_model(spark, str(tmp_path / "model")), test)
     assert again.select("prediction").exceptAll(scored.select("prediction")).count() == 0
 
 
@@ -210,5 +221,6 @@ def test_whole_flow(spark, tmp_path):
     assert {"imf_1", "imf_residue", "earth_humidity_reconstructed_lag_24h"} <= set(result.fitted.features)
     summary = result.summary.collect()
     assert len(summary) == 2 and all(r.labels == "2024" and r.n_rows == 260 for r in summary)
+    assert all(set(r.top_features.split(", ")) < set(result.fitted.features) for r in summary)
     flow.save(result, str(tmp_path / "out"), spec)
     assert spark.read.parquet(str(tmp_path / "out/processed/cleaned")).count() == 520

@@ -1,11 +1,10 @@
-"""Unreadable sheets, p-values of very long series, and the first trees of a fitted model."""
+"""Unreadable sheets and p-values of very long series."""
 
 import math
 
 import pytest
 
 from fieldsignal.functions.significance import pearson_p
-from fieldsignal.operators import model
 from fieldsignal.sources import tables
 
 
@@ -26,14 +25,3 @@ def test_p_value_of_long_series(n):
 
 def test_p_value_of_short_series():
     assert pearson_p(0.5, 3) == pytest.approx(2 / 3) and pearson_p(0.0, 20) == 1.0 and pearson_p(1.0, 20) == 0.0
-
-
-def test_kept_trees_are_those_of_a_shorter_fit(spark):
-    rows = [(float(k % 17), float(k * 7 % 23), float(k % 17) ** 2, "val" if k % 4 == 0 else "train") for k in range(400)]
-    table = spark.createDataFrame(rows, "a double, b double, y double, split string").coalesce(1).cache()
-    params = dict(rounds=6, depth=3, patience=2, row_sample=1.0, column_sample="all", min_leaf_rows=1)
-    long = model.train(table, ["a", "b"], "y", **params)
-    kept, short = model._first_trees(long.trees, 3), model.train(table, ["a", "b"], "y", **params | {"rounds": 3})
-    frame = long.model.stages[0].transform(table)
-    mine = [r["prediction"] for r in kept.transform(frame).collect()]
-    assert kept.getNumTrees == 3 and mine == pytest.approx([r["prediction"] for r in short.trees.transform(frame).collect()])
