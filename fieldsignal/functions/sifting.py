@@ -71,6 +71,33 @@ def first_mode(x: np.ndarray) -> np.ndarray:
     return h
 
 
+def window_mode(x: np.ndarray, start: int, size: int):
+    """The first mode of a series of ``size`` samples, as far as a window of it from ``start`` proves it.
+
+    Returns the window's samples after all sifts and the part [low, high) where they are those of the
+    whole series; None if the window does not show that a sift goes on. A sift is known between the
+    outermost extrema of both kinds that are known, since envelopes do not look further; at an end of
+    the series it is known up to the end. A window of the whole series proves everything.
+    """
+    h, low, high = x, 0, x.size
+    to_left, to_right = start == 0, start + x.size == size
+    for _ in range(SIFTS_PER_MODE):
+        part = h[low:high]
+        peaks, troughs = turning_points(part, start + low)
+        if min(peaks.size, troughs.size) < MIN_EXTREMA:
+            return (h, low, high) if to_left and to_right else None
+        middle = (envelope(part, start + low, size, peaks) + envelope(part, start + low, size, troughs)) / 2
+        h = h.copy()
+        h[low:high] -= middle
+        if not to_left:
+            low = int(max(peaks[0], troughs[0])) - start
+        if not to_right:
+            high = int(min(peaks[-1], troughs[-1])) - start + 1
+        if high <= low:
+            return None
+    return h, low, high
+
+
 def is_oscillating(h: np.ndarray) -> bool:
     return sum(points.size for points in turning_points(h)) > 2
 

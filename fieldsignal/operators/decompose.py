@@ -286,19 +286,88 @@ def sift_once(df: DataFrame, spec: SeriesSpec, column: str = TARGET, output: str
 # --- decomposition ----------------------------------------------------------------------
 
 
+#: Samples that a window shows beside its own at first, at least, and at most before its series goes sift by sift.
+FIRST_HALO, MOST_HALO = 256, 65_536
+
+
+def _windows(blocks: DataFrame, keys: Sequence[str], width: int, halo: int, todo: DataFrame | None) -> DataFrame:
+    """Windows of ``width`` own samples and up to ``halo`` of their neighbours' on each side, from blocks.
+
+    ``todo`` limits them to some numbers ``target`` of some series. A block is cut for every window
+    that shows a part of it, so tables grow by about 2 * halo / width.
+    """
+    last = F.col("start") + F.size("values") - 1
+    targets = F.sequence(
+        F.greatest(F.floor((F.col("start") - halo) / width), F.lit(0)),
+        F.least(F.floor((last + halo) / width), F.floor((F.col("size") - 1) / width)),
+    )
+    shown = blocks.select(*keys, "start", "size", "values", F.explode(targets).alias("target"))
+    if todo is not None:
+        shown = shown.join(todo, [*keys, "target"], "left_semi")
+    low = F.greatest(F.col("start"), F.col("target") * width - halo)
+    high = F.least(last + 1, (F.col("target") + 1) * width + halo)
+    cut = F.slice("values", (low - F.col("start") + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int"))
+    parts = shown.select(*keys, "target", "size", F.struct(low.alias("low"), cut.alias("values")).alias("part"))
+    ordered = F.sort_array(F.collect_list("part"))
+    return parts.groupBy(*keys, "target", "size").agg(ordered.alias("_p")).select(
+        *keys, "target", "size", F.element_at("_p", 1)["low"].alias("low"),
+        F.flatten(F.transform("_p", lambda p: p["values"])).alias("values"),
+    )
+
+
+def _modes_by_windows(blocks: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
+    """First mode of long signals, all sifts of a window in its task.
+
+    Every window checks that its halo sufficed. Where it did not, blocks are looked at again in
+    windows four times as long, with a halo four times as wide. Series of which a part stays unproven
+    at MOST_HALO go sift by sift.
+    """
+    width, halo, todo, found = block_rows, max(FIRST_HALO, block_rows // 8), None, []
+    fields = [T.StructField("chunk", T.LongType()), T.StructField("start", T.LongType()), VALUES,
+              T.StructField("proven", T.BooleanType())]
+    while True:
+        def kernel(row: dict, width: int = width) -> list[dict]:
+            size, low = int(row["size"]), int(row["low"])
+            own = int(row["target"]) * width, min((int(row["target"]) + 1) * width, size)
+            made = sifting.window_mode(_array(row["values"]), low, size)
+            proven = made is not None and low + made[1] <= own[0] and own[1] <= low + made[2]
+            starts = range(own[0], own[1], block_rows)
+            return [
+                {
+                    "chunk": at // block_rows, "start": at, "proven": proven,
+                    "values": made[0][at - low : min(at + block_rows, own[1]) - low] if proven else None,
+                }
+                for at in starts
+            ]
+
+        shown = _windows(blocks, keys, width, halo, todo)
+        done = materialize(_flat_map_blocks(shown, fields, kernel, drop=("target", "low")))
+        found.append(done.where("proven"))
+        failed = done.where(~F.col("proven"))
+        if failed.isEmpty():
+            return _union([part.drop("proven") for part in found])
+        if 4 * halo > MOST_HALO:
+            break
+        width, halo = 4 * width, 4 * halo
+        todo = failed.select(*keys, F.floor(F.col("start") / width).alias("target")).distinct()
+    unproven = failed.select(*keys).distinct()
+    proven = _union(found).join(unproven, list(keys), "left_anti").drop("proven")
+    rest = blocks.join(unproven, list(keys), "left_semi")
+    for _ in range(sifting.SIFTS_PER_MODE):
+        rest = materialize(_sift(rest, keys, store=True))
+    return proven.unionByName(rest.drop(*EDGE_NAMES))
+
+
 def first_modes(blocks: DataFrame, keys: Sequence[str], block_rows: int, split_series: bool) -> DataFrame:
     """First mode of every signal. Series of one block are finished within a task, longer
-    ones go through one job per sift."""
+    ones in windows of their blocks."""
     one_block = F.col("size") <= block_rows
     small = _map_blocks(
         blocks.where(one_block), [VALUES], lambda row: {"values": sifting.first_mode(_array(row["values"]))}
     )
     if not split_series:
         return small
-    large = blocks.where(~one_block)
-    for _ in range(sifting.SIFTS_PER_MODE):
-        large = materialize(_sift(large, keys, store=True))
-    return small.unionByName(large.drop(*EDGE_NAMES))
+    return small.unionByName(_modes_by_windows(blocks.where(~one_block), keys, block_rows))
 
 
 def _subtract(blocks: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -339,9 +408,9 @@ COMPONENT = T.StructField("component", T.IntegerType())
 def decompose_blocks(blocks: DataFrame, keys: Sequence[str], block_rows: int, modes: int) -> DataFrame:
     """Sift out up to ``modes`` modes per signal; the rest is the residue.
 
-    Signals of one block are decomposed within a task. Longer ones go through one job per
-    sift and leave the loop once at most two extrema remain; the driver only asks whether
-    any signal is left.
+    Signals of one block are decomposed within a task. Longer ones take one written table per
+    mode where the halo of their windows suffices, and leave the loop once at most two extrema
+    remain; the driver only asks whether any signal is left.
     """
     def kernel(row: dict) -> list[dict]:
         *found, rest = sifting.all_modes(_array(row["values"]), modes)
@@ -469,7 +538,6 @@ def ceemdan(
             )
             .drop("_w")
         )
-        disturbed = materialize(disturbed) if split_series else disturbed
         modes = first_modes(disturbed, with_trial, spec.block_rows, split_series)
         mode = materialize(_trial_mean(modes, keys))
         rest = _settle(rest, mode, keys, stage + 1, split_series, found)

@@ -449,13 +449,13 @@ def c3_sift_once(spark, sf):
     return rounded(decompose.sift_once(base.indexed_readings(spark, sf), READINGS))
 
 
-# Full decompositions take many sifts per series and use blocks of the default length.
-LONG_BLOCKS = SeriesSpec()
+# Short blocks, so that series are split at every scale; the ensemble's values have no reference and use long ones.
+SHORT_BLOCKS, LONG_BLOCKS = SeriesSpec(block_rows=128), SeriesSpec()
 
 
 @query
 def c4_emd(spark, sf):
-    return rounded(decompose.emd(base.indexed_readings(spark, sf), LONG_BLOCKS))
+    return rounded(decompose.emd(base.indexed_readings(spark, sf), SHORT_BLOCKS))
 
 
 @query
@@ -466,15 +466,15 @@ def c5_ceemdan(spark, sf):
 @query
 def c5_components_sum(spark, sf):
     """The modes and the residue of every row add up to its reading."""
-    parts = decompose.ceemdan(base.indexed_readings(spark, sf), LONG_BLOCKS)
+    parts = decompose.ceemdan(base.indexed_readings(spark, sf), SHORT_BLOCKS)
     return rounded(parts.groupBy(*ROW).agg(F.sum("value").alias(TARGET)), 6)
 
 
 @query
 def c6_mode_columns(spark, sf):
     df = base.indexed_readings(spark, sf)
-    modes = decompose.emd(df, LONG_BLOCKS, max_imfs=4)
-    return rounded(decompose.attach_modes(df, modes, LONG_BLOCKS, count=3))
+    modes = decompose.emd(df, SHORT_BLOCKS, max_imfs=4)
+    return rounded(decompose.attach_modes(df, modes, SHORT_BLOCKS, count=3))
 
 
 def _two_modes(spark, sf) -> tuple[DataFrame, DataFrame]:

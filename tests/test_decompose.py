@@ -66,6 +66,46 @@ def test_split_series_give_the_same_modes(spark, signals):
     np.testing.assert_allclose(both.value_x, both.value_y, atol=1e-12)
 
 
+def test_window_proves_what_the_whole_series_gives():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=400), np.full(30, 2.0), np.cumsum(rng.normal(size=300)).round(1)])
+    whole, proven = sifting.first_mode(x), 0
+    for start in range(0, 730, 45):
+        for stop in (start + 60, start + 200, start + 600, 730):
+            part = x[start:stop]
+            made = sifting.window_mode(part, start, x.size)
+            if made is not None:
+                h, low, high = made
+                np.testing.assert_allclose(h[low:high], whole[start + low : start + high], atol=1e-12)
+                proven += high - low
+    assert proven > 5_000
+    h, low, high = sifting.window_mode(x, 0, x.size)
+    assert (low, high) == (0, x.size) and np.array_equal(h, whole)
+    assert sifting.window_mode(np.arange(50.0), 10, 500) is None
+
+
+@pytest.mark.parametrize("first_halo, most_halo", [(8, 1000), (8, 16), (64, 64)])
+def test_windows_that_fail_are_looked_at_again(spark, signals, monkeypatch, first_halo, most_halo):
+    """Halos that suffice at once, after growing, or never for some series: the modes are the same."""
+    monkeypatch.setattr(decompose, "FIRST_HALO", first_halo)
+    monkeypatch.setattr(decompose, "MOST_HALO", most_halo)
+    _, df = signals
+    whole = decompose.emd(df, SeriesSpec(block_rows=512), "v", 3).toPandas()
+    split = decompose.emd(df, SeriesSpec(block_rows=16), "v", 3).toPandas()
+    both = whole.merge(split, on=["series_id", "row_idx", "component"], how="outer")
+    assert len(both) == len(whole) == len(split)
+    np.testing.assert_allclose(both.value_x, both.value_y, atol=1e-12)
+
+
+def test_ensemble_over_short_blocks_is_the_same(spark, signals):
+    _, df = signals
+    spec, short = SeriesSpec(block_rows=512), SeriesSpec(block_rows=32)
+    a, b = (decompose.ceemdan(df, s, "v", max_imfs=2, trials=3).toPandas() for s in (spec, short))
+    both = a.merge(b, on=["series_id", "row_idx", "component"], how="outer")
+    assert len(both) == len(a) == len(b)
+    np.testing.assert_allclose(both.value_x, both.value_y, atol=1e-9)
+
+
 def test_ensemble_modes_add_up_and_repeat(spark, signals):
     pdf, df = signals
     spec = SeriesSpec(block_rows=512)
