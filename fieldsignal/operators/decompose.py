@@ -293,8 +293,8 @@ FIRST_HALO, MOST_HALO = 256, 65_536
 def _windows(blocks: DataFrame, keys: Sequence[str], width: int, halo: int, todo: DataFrame | None) -> DataFrame:
     """Windows of ``width`` own samples and up to ``halo`` of their neighbours' on each side, from blocks.
 
-    ``todo`` limits them to some numbers ``target`` of some series. A block is cut for every window
-    that shows a part of it, so tables grow by about 2 * halo / width.
+    ``todo`` limits them to some numbers ``target`` of some series, and to the blocks ``wanted`` of
+    each. A block is cut for every window that shows a part of it, so tables grow by about 2 * halo / width.
     """
     last = F.col("start") + F.size("values") - 1
     targets = F.sequence(
@@ -302,15 +302,18 @@ def _windows(blocks: DataFrame, keys: Sequence[str], width: int, halo: int, todo
         F.least(F.floor((last + halo) / width), F.floor((F.col("size") - 1) / width)),
     )
     shown = blocks.select(*keys, "start", "size", "values", F.explode(targets).alias("target"))
-    if todo is not None:
-        shown = shown.join(todo, [*keys, "target"], "left_semi")
+    if todo is None:
+        shown = shown.withColumn("wanted", F.lit(None).cast("array<bigint>"))
+    else:
+        shown = shown.join(todo, [*keys, "target"])
     low = F.greatest(F.col("start"), F.col("target") * width - halo)
     high = F.least(last + 1, (F.col("target") + 1) * width + halo)
     cut = F.slice("values", (low - F.col("start") + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int"))
-    parts = shown.select(*keys, "target", "size", F.struct(low.alias("low"), cut.alias("values")).alias("part"))
+    parts = shown.select(*keys, "target", "size", "wanted", F.struct(low.alias("low"), cut.alias("values")).alias("part"))
     ordered = F.sort_array(F.collect_list("part"))
-    return parts.groupBy(*keys, "target", "size").agg(ordered.alias("_p")).select(
-        *keys, "target", "size", F.element_at("_p", 1)["low"].alias("low"),
+    grouped = parts.groupBy(*keys, "target", "size").agg(ordered.alias("_p"), F.first("wanted").alias("wanted"))
+    return grouped.select(
+        *keys, "target", "size", "wanted", F.element_at("_p", 1)["low"].alias("low"),
         F.flatten(F.transform("_p", lambda p: p["values"])).alias("values"),
     )
 
@@ -332,6 +335,8 @@ def _modes_by_windows(blocks: DataFrame, keys: Sequence[str], block_rows: int) -
             made = sifting.window_mode(_array(row["values"]), low, size)
             proven = made is not None and low + made[1] <= own[0] and own[1] <= low + made[2]
             starts = range(own[0], own[1], block_rows)
+            if row["wanted"] is not None:
+                starts = [int(k) * block_rows for k in sorted(row["wanted"])]
             return [
                 {
                     "chunk": at // block_rows, "start": at, "proven": proven,
@@ -341,7 +346,7 @@ def _modes_by_windows(blocks: DataFrame, keys: Sequence[str], block_rows: int) -
             ]
 
         shown = _windows(blocks, keys, width, halo, todo)
-        done = materialize(_flat_map_blocks(shown, fields, kernel, drop=("target", "low")))
+        done = materialize(_flat_map_blocks(shown, fields, kernel, drop=("target", "low", "wanted")))
         found.append(done.where("proven"))
         failed = done.where(~F.col("proven"))
         if failed.isEmpty():
@@ -349,7 +354,8 @@ def _modes_by_windows(blocks: DataFrame, keys: Sequence[str], block_rows: int) -
         if 4 * halo > MOST_HALO:
             break
         width, halo = 4 * width, 4 * halo
-        todo = failed.select(*keys, F.floor(F.col("start") / width).alias("target")).distinct()
+        number = F.floor(F.col("start") / width).alias("target")
+        todo = failed.groupBy(*keys, number).agg(F.collect_set("chunk").alias("wanted"))
     unproven = failed.select(*keys).distinct()
     proven = _union(found).join(unproven, list(keys), "left_anti").drop("proven")
     rest = blocks.join(unproven, list(keys), "left_semi")

@@ -112,12 +112,49 @@ def over_chunks(
     return build(padded, w).where(F.col(CHUNK) == own).drop(CHUNK)
 
 
+#: Chunks of a group, and groups of a group above it: how readings travel along long series.
+CHUNK_GROUPS = (1024, 1024)
+
+
+def _carried(
+    edges: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str = CHUNK, widths: Sequence[int] = CHUNK_GROUPS
+) -> DataFrame:
+    """Per row of ``edges`` the last known reading of the rows before it (``_cp_c``) and the first one
+    of the rows after it (``_cn_c``), from each row's own last (``_l_c``) and first (``_f_c``) one.
+
+    Inside a group of ``widths[0]`` rows a window finds it; what the group lacks comes from the table
+    of groups, in the same way. So a window partition holds a group, or the few groups of the last level.
+    """
+    keys, inside = list(keys), list(keys)
+    if widths:
+        group = f"{order}_g"
+        edges = edges.withColumn(group, F.floor(F.col(order) / widths[0]))
+        inside.append(group)
+    w = Window.partitionBy(*inside)
+    earlier = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    later = w.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    found = edges.withColumns(
+        {f"_cp_{c}": F.last(f"_l_{c}", True).over(earlier) for c in columns}
+        | {f"_cn_{c}": F.last(f"_f_{c}", True).over(later) for c in columns}
+    )
+    if not widths:
+        return found.select(*keys, order, *[f"_c{side}_{c}" for c in columns for side in "pn"])
+    totals = edges.groupBy(*inside).agg(
+        *[F.max(f"_l_{c}").alias(f"_l_{c}") for c in columns], *[F.min(f"_f_{c}").alias(f"_f_{c}") for c in columns]
+    )
+    outer = _carried(totals, keys, columns, group, widths[1:])
+    outer = outer.select(*inside, *[F.col(f"_c{side}_{c}").alias(f"_o{side}_{c}") for c in columns for side in "pn"])
+    return found.join(outer, inside).select(
+        *keys, order, *[F.coalesce(f"_c{side}_{c}", f"_o{side}_{c}").alias(f"_c{side}_{c}") for c in columns for side in "pn"]
+    )
+
+
 def nearest_known(df: DataFrame, spec: SeriesSpec, columns: Sequence[str]) -> DataFrame:
     """Add, per column ``c``, position and value of the nearest non-NULL reading at or
     before the row (``_pi_c``, ``_pv_c``) and at or after it (``_ni_c``, ``_nv_c``).
 
     The look-back is unbounded. Chunks are reduced to their first and last known
-    reading, those are carried along the much smaller chunk table, and the windows over
+    reading, those are carried along groups of chunks and groups of groups, and the windows over
     rows stay inside one chunk. Looking ahead is a descending window with a running
     frame, since a frame that ends in UNBOUNDED FOLLOWING is re-read for every row.
     """
@@ -125,46 +162,23 @@ def nearest_known(df: DataFrame, spec: SeriesSpec, columns: Sequence[str]) -> Da
     idx = F.col(spec.index)
 
     def known(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), idx)
+        return F.when(F.col(c).isNotNull(), F.struct(idx.alias("i"), F.col(c).alias("v")))
 
     cut = df.withColumn(CHUNK, chunk_of(spec))
     edges = cut.groupBy(*keys).agg(
-        *[
-            expr
-            for c in columns
-            for expr in (
-                F.max(known(c)).alias(f"_li_{c}"),
-                F.max_by(F.col(c), known(c)).alias(f"_lv_{c}"),
-                F.min(known(c)).alias(f"_fi_{c}"),
-                F.min_by(F.col(c), known(c)).alias(f"_fv_{c}"),
-            )
-        ]
-    )
-    chunks = Window.partitionBy(*spec.keys)
-    earlier = chunks.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    later = chunks.orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.select(
-        *keys,
-        *[F.last(f"_l{p}_{c}", True).over(earlier).alias(f"_cp{p}_{c}") for c in columns for p in "iv"],
-        *[F.last(f"_f{p}_{c}", True).over(later).alias(f"_cn{p}_{c}") for c in columns for p in "iv"],
+        *[F.max(known(c)).alias(f"_l_{c}") for c in columns], *[F.min(known(c)).alias(f"_f_{c}") for c in columns]
     )
     rows = Window.partitionBy(*keys)
     back = rows.orderBy(spec.index).rowsBetween(Window.unboundedPreceding, 0)
     ahead = rows.orderBy(F.desc(spec.index)).rowsBetween(Window.unboundedPreceding, 0)
-    found = {}
-    for c in columns:
-        for p, source in (("i", known(c)), ("v", F.col(c))):
-            found[f"_p{p}_{c}"] = F.last(source, True).over(back)
-            found[f"_n{p}_{c}"] = F.last(source, True).over(ahead)
-    joined = cut.withColumns(found).join(carried, keys)
-    return joined.withColumns(
-        {
-            f"_{side}{p}_{c}": F.coalesce(f"_{side}{p}_{c}", f"_c{side}{p}_{c}")
-            for c in columns
-            for side in "pn"
-            for p in "iv"
-        }
-    ).drop(CHUNK, *[f"_c{side}{p}_{c}" for c in columns for side in "pn" for p in "iv"])
+    found = {f"_p_{c}": F.last(known(c), True).over(back) for c in columns}
+    found |= {f"_n_{c}": F.last(known(c), True).over(ahead) for c in columns}
+    joined = cut.withColumns(found).join(_carried(edges, spec.keys, columns), keys)
+    nearest = {f"_{side}_{c}": F.coalesce(f"_{side}_{c}", f"_c{side}_{c}") for c in columns for side in "pn"}
+    split = {f"_{side}{p}_{c}": F.col(f"_{side}_{c}")[p] for c in columns for side in "pn" for p in "iv"}
+    return joined.withColumns(nearest).withColumns(split).drop(
+        CHUNK, *nearest, *[f"_c{side}_{c}" for c in columns for side in "pn"]
+    )
 
 
 def drop_nearest(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -449,8 +449,9 @@ def c3_sift_once(spark, sf):
     return rounded(decompose.sift_once(base.indexed_readings(spark, sf), READINGS))
 
 
-# Short blocks, so that series are split at every scale; the ensemble's values have no reference and use long ones.
-SHORT_BLOCKS, LONG_BLOCKS = SeriesSpec(block_rows=128), SeriesSpec()
+# Short blocks, so that series are split at every scale. An ensemble decomposes every trial, so its query that
+# has a reference uses longer blocks, and the one without the default length.
+SHORT_BLOCKS, TRIAL_BLOCKS, LONG_BLOCKS = SeriesSpec(block_rows=128), SeriesSpec(block_rows=1024), SeriesSpec()
 
 
 @query
@@ -466,7 +467,7 @@ def c5_ceemdan(spark, sf):
 @query
 def c5_components_sum(spark, sf):
     """The modes and the residue of every row add up to its reading."""
-    parts = decompose.ceemdan(base.indexed_readings(spark, sf), SHORT_BLOCKS)
+    parts = decompose.ceemdan(base.indexed_readings(spark, sf), TRIAL_BLOCKS)
     return rounded(parts.groupBy(*ROW).agg(F.sum("value").alias(TARGET)), 6)
 
 

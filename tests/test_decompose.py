@@ -97,6 +97,16 @@ def test_windows_that_fail_are_looked_at_again(spark, signals, monkeypatch, firs
     np.testing.assert_allclose(both.value_x, both.value_y, atol=1e-12)
 
 
+def test_only_the_blocks_that_failed_are_looked_at_again(spark, monkeypatch):
+    """Noise, whose short halo suffices, beside a slow wave, whose does not."""
+    monkeypatch.setattr(decompose, "FIRST_HALO", 32)
+    x = np.concatenate([np.random.default_rng(8).normal(size=300), 3 * np.sin(np.arange(300) / 9)])
+    df = spark.createDataFrame(pd.DataFrame({"series_id": "s", "row_idx": range(x.size), "v": x}))
+    modes = decompose.emd(df, SeriesSpec(block_rows=16), "v", 2).toPandas().sort_values("row_idx")
+    assert len(modes) == 2 * x.size
+    np.testing.assert_allclose(modes[modes.component == 1].value, sifting.first_mode(x), atol=1e-12)
+
+
 def test_ensemble_over_short_blocks_is_the_same(spark, signals):
     _, df = signals
     spec, short = SeriesSpec(block_rows=512), SeriesSpec(block_rows=32)

@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import by_row
+import pytest
+
 from fieldsignal.operators import clean, hampel, index, profile
 from fieldsignal.spec import SeriesSpec
 
@@ -136,3 +138,20 @@ def test_exact_median_over_wide_values(spark):
     pdf = pd.DataFrame({"series_id": ["a"] * 501 + ["b"] * 400, "x": rng.integers(0, 10**13, 901)})
     got = {r.series_id: r.median for r in profile.exact_median(spark.createDataFrame(pdf), SPEC, "x").collect()}
     assert got == pdf.groupby("series_id").x.median().to_dict()
+
+
+@pytest.mark.parametrize("groups", [(), (2,), (2, 2), (3, 2)])
+def test_readings_travel_over_groups_of_chunks(spark, monkeypatch, groups):
+    """Gaps longer than chunks, groups and groups of groups, against a walk over the series."""
+    monkeypatch.setattr(index._carried, "__defaults__", (index.CHUNK, groups))
+    spec = SeriesSpec(chunk_rows=3)
+    readings = {"a": {0: 1.0, 40: 2.0, 41: 3.0}, "b": {59: 4.0}, "c": {}, "d": {k: float(k) for k in range(0, 60, 5)}}
+    rows = [(s, k, known.get(k)) for s, known in readings.items() for k in range(60)]
+    df = spark.createDataFrame(rows, "series_id string, row_idx long, v double").repartition(5)
+    out = index.nearest_known(df, spec, ["v"])
+    assert set(out.columns) == {"series_id", "row_idx", "v", "_pi_v", "_pv_v", "_ni_v", "_nv_v"}
+    for r in out.collect():
+        known = readings[r.series_id]
+        before = max((k for k in known if k <= r.row_idx), default=None)
+        after = min((k for k in known if k >= r.row_idx), default=None)
+        assert (r._pi_v, r._pv_v, r._ni_v, r._nv_v) == (before, known.get(before), after, known.get(after))
