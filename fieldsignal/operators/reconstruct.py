@@ -50,7 +50,7 @@ def mode_statistics(
         F.round("_r", 4).alias("pearson_r"),
     ]
     if significance:
-        p = p_value(df.sparkSession, F.col("_r"), F.col("_n").cast("double"))
+        p = p_value(F.col("_r"), F.col("_n"))
         report.append(F.round(p, 6).alias("p_value"))
     return stats.select(*spec.keys, "component", component_label(F.col("component")).alias("component_name"), *report)
 

@@ -524,6 +524,14 @@ joined AS (SELECT series_id, row_idx, v, sum(x) FILTER (WHERE selected) AS recon
   FROM modes JOIN picked USING (series_id, component) GROUP BY series_id, row_idx, v)"""
 RECON = (*SIFT, STATISTICS)
 SQL["r1_mode_statistics"] = with_(*RECON) + "SELECT * FROM stats"
+# Two-sided p-values: r = sin(t), and t has a density proportional to cos(t)^(n - 3).
+_SIMPSON = """(list_sum(list_transform(range(0, 401), lambda k:
+    CASE WHEN k = 0 OR k = 400 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * pow(cos({lo} + k * ({hi} - {lo}) / 400), n - 3))) * ({hi} - {lo}) / 1200)"""
+SQL["r2_p_values"] = with_(*SIFT, STATISTICS, """exact AS (SELECT series_id, component, asin(abs(corr(x, v))) AS least, count(*) AS n,
+    least(pi() / 2, 12 / sqrt(greatest(count(*) - 3, 1))) AS most FROM modes GROUP BY ALL)""") + f"""
+SELECT stats.*, round(CASE WHEN least >= most THEN 0 ELSE
+  {_SIMPSON.format(lo="least", hi="most")} / {_SIMPSON.format(lo="0", hi="most")} END, 6) AS p_value
+FROM stats JOIN exact USING (series_id, component)"""
 STRENGTH = (f"printf('%.3f', {half_up('abs(pearson_r)', 3)})", f"printf('%.1f', {half_up('energy_pct', 1)})")
 SQL["r3_mode_selection"] = with_(*RECON) + f"""SELECT series_id, component_name, selected,
   CASE WHEN component = 0 THEN 'Residue Trend'

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldsignal.functions import sifting
-from fieldsignal.functions.significance import pearson_p
 from fieldsignal.operators import decompose, reconstruct
 from fieldsignal.spec import SeriesSpec
+from incomplete_beta import pearson_p
 
 
 @pytest.fixture(scope="module")

@@ -2,12 +2,11 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import by_row
-import pytest
-
 from fieldsignal.operators import clean, hampel, index, profile
 from fieldsignal.spec import SeriesSpec
 
