@@ -527,7 +527,9 @@ def ceemdan(
     rest, found = signal, []
     for stage in range(max_imfs + 1):
         added = noise if stage == 0 else noise_modes.where(F.col("component") == stage)
-        scaled = added.join(_spread(rest, keys), keys).select(
+        # The spread of a series is laid on its blocks first, so that its trials join by block.
+        laid = rest.select(*keys, "chunk").join(_spread(rest, keys), keys)
+        scaled = added.join(laid, [*keys, "chunk"]).select(
             *with_trial,
             "chunk",
             F.transform("values", lambda w: w * F.col("_std") * noise_scale).alias("_w"),

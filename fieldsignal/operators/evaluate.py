@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldsignal.operators.index import attach, by_hash
+
 # Fixed value: actual values this close to zero have no percentage error.
 ZERO_ACTUAL = 1e-4
 
@@ -52,18 +54,20 @@ def residual_moments(df: DataFrame, groups: Sequence[str]) -> DataFrame:
 def residual_histogram(df: DataFrame, groups: Sequence[str], bins: int = 40) -> DataFrame:
     """Equal-width bins from the smallest to the largest residual, with density.
 
-    Empty bins have no row; the largest residual belongs to the last bin.
+    Empty bins have no row; the largest residual belongs to the last bin. Residuals are counted per
+    distinct value first, so that a common one is one row when it meets the bounds of its group.
     """
-    bounds = df.groupBy(*groups).agg(
-        F.min("residual").alias("_low"), F.max("residual").alias("_high"), F.count("residual").alias("_n")
+    counts = df.where(F.col("residual").isNotNull()).groupBy(*groups, "residual").agg(F.count(F.lit(1)).alias("_c"))
+    bounds = counts.groupBy(*groups).agg(
+        F.min("residual").alias("_low"), F.max("residual").alias("_high"), F.sum("_c").alias("_n")
     )
     width = (F.col("_high") - F.col("_low")) / bins
     place = F.floor((F.col("residual") - F.col("_low")) / (F.col("_high") - F.col("_low")) * bins)
     return (
-        df.join(bounds.where("_high > _low"), list(groups))
+        attach(counts, bounds.where("_high > _low"), groups, by_hash("residual"))
         .withColumn("bin", F.least(place, F.lit(bins - 1)).cast("long"))
         .groupBy(*groups, "bin", "_low", "_high", "_n")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.sum("_c").alias("n_rows"))
         .select(
             *groups,
             "bin",

@@ -81,6 +81,23 @@ def with_row_index(
     )
 
 
+def attach(df: DataFrame, values: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner") -> DataFrame:
+    """Join one row of ``values`` per key to the rows of ``df``, of which a key may hold a large share.
+
+    The values are laid on the table of (key, ``spread``) first, one row each; the rows then join on
+    both, so that a key is dealt to as many tasks as it has values of ``spread``.
+    """
+    bucket = "_spread"
+    cut = df.withColumn(bucket, spread)
+    laid = cut.select(*keys, bucket).distinct().join(values, list(keys), how)
+    return cut.join(laid, [*keys, bucket]).drop(bucket)
+
+
+def by_hash(*columns: str) -> Column:
+    """One of 2^20 buckets, for rows that have been counted per distinct value."""
+    return F.shiftright(F.xxhash64(*columns), 44)
+
+
 def chunk_of(spec: SeriesSpec) -> Column:
     return F.floor(F.col(spec.index) / spec.chunk_rows)
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldsignal.functions.clock import MICROS_PER_SECOND, epoch_micros
-from fieldsignal.operators.index import over_chunks, running_counts
+from fieldsignal.operators.index import attach, by_hash, over_chunks, running_counts
+from fieldsignal.session import materialize
 from fieldsignal.spec import SeriesSpec
 
 DAY_SECONDS = 86_400
@@ -38,15 +39,20 @@ def with_step_micros(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     ).drop("_us")
 
 
-def exact_median(df: DataFrame, spec: SeriesSpec, value: str) -> DataFrame:
-    """Exact median of a LONG column per series, as DOUBLE ``median``.
+def value_counts_of(df: DataFrame, spec: SeriesSpec, value: str) -> DataFrame:
+    """How often each known value of a column stands in each series: (keys, value, ``n``)."""
+    return df.where(F.col(value).isNotNull()).groupBy(*spec.keys, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_median(counts: DataFrame, spec: SeriesSpec, value: str) -> DataFrame:
+    """Exact median of a LONG column per series, as DOUBLE ``median``, from its counted values.
 
     Counts per distinct value are ranked by ``running_counts``, so no task holds all the
     values of a series; the one or two middle values are then picked by rank.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*spec.keys, value).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(*spec.keys).agg(F.sum("n").alias("_total"))
-    ranked = running_counts(counts, spec.keys, value, (1 << 36, 1 << 18)).join(totals, spec.keys)
+    ranked = running_counts(counts, spec.keys, value, (1 << 36, 1 << 18))
+    ranked = attach(ranked, totals, spec.keys, by_hash(value))
 
     def holds(rank: Column) -> Column:
         return (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
@@ -64,20 +70,24 @@ def exact_median(df: DataFrame, spec: SeriesSpec, value: str) -> DataFrame:
 def cadence_report(df: DataFrame, spec: SeriesSpec, default_seconds: float = 3600.0) -> DataFrame:
     """Median, smallest and largest step in seconds, and steps over twice the median.
 
-    A series of one row has no step; its median is the default.
+    Steps are counted per distinct length once, and all figures come from the counts. A series of one
+    row has no step; its median is the default.
     """
-    steps = with_step_micros(df, spec).select(*spec.keys, "step_us")
-    median = exact_median(steps, spec, "step_us")
-    scaled = F.col("step_us") / MICROS_PER_SECOND
-    return (
-        steps.join(median, spec.keys, "left")
-        .groupBy(*spec.keys)
-        .agg(
-            F.coalesce(F.max("median") / MICROS_PER_SECOND, F.lit(default_seconds)).alias("median_seconds"),
-            F.min(scaled).alias("min_seconds"),
-            F.max(scaled).alias("max_seconds"),
-            F.count_if(F.col("step_us") > 2 * F.col("median")).alias("large_gaps"),
-        )
+    step = "step_us"
+    counts = materialize(value_counts_of(with_step_micros(df, spec).select(*spec.keys, step), spec, step))
+    measured = attach(counts, exact_median(counts, spec, step), spec.keys, by_hash(step))
+    report = measured.groupBy(*spec.keys).agg(
+        F.max("median").alias("_median"),
+        (F.min(step) / MICROS_PER_SECOND).alias("min_seconds"),
+        (F.max(step) / MICROS_PER_SECOND).alias("max_seconds"),
+        F.sum(F.when(F.col(step) > 2 * F.col("median"), F.col("n")).otherwise(0)).alias("_gaps"),
+    )
+    return df.select(*spec.keys).distinct().join(report, spec.keys, "left").select(
+        *spec.keys,
+        F.coalesce(F.col("_median") / MICROS_PER_SECOND, F.lit(default_seconds)).alias("median_seconds"),
+        "min_seconds",
+        "max_seconds",
+        F.coalesce("_gaps", F.lit(0)).cast("long").alias("large_gaps"),
     )
 
 

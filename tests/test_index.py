@@ -135,7 +135,7 @@ def test_cadence_fixture(spark):
 def test_exact_median_over_wide_values(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"series_id": ["a"] * 501 + ["b"] * 400, "x": rng.integers(0, 10**13, 901)})
-    got = {r.series_id: r.median for r in profile.exact_median(spark.createDataFrame(pdf), SPEC, "x").collect()}
+    got = {r.series_id: r.median for r in profile.exact_median(profile.value_counts_of(spark.createDataFrame(pdf), SPEC, "x"), SPEC, "x").collect()}
     assert got == pdf.groupby("series_id").x.median().to_dict()
 
 
@@ -154,3 +154,12 @@ def test_readings_travel_over_groups_of_chunks(spark, monkeypatch, groups):
         before = max((k for k in known if k <= r.row_idx), default=None)
         after = min((k for k in known if k >= r.row_idx), default=None)
         assert (r._pi_v, r._pv_v, r._ni_v, r._nv_v) == (before, known.get(before), after, known.get(after))
+
+
+def test_attach_equals_a_join_and_deals_a_hot_key_to_many_tasks(spark):
+    rows = spark.range(3000).selectExpr("IF(id % 3 < 2, 'hot', concat('k', id % 7)) AS k", "id", "7 AS v")
+    values = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("none", 4)], "k string, w int")
+    out = index.attach(rows, values, ["k"], F.floor(F.col("id") / 100))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.join(values, ["k"]).select(out.columns).collect()))
+    left = index.attach(rows, values, ["k"], index.by_hash("id"), "left")
+    assert left.count() == 3000 and left.where("w IS NULL").count() == rows.where("k NOT IN ('hot', 'k1', 'k2')").count()
