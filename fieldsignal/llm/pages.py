@@ -3,7 +3,8 @@
 A page is cut at its block tags into flat blocks of text. Each block has the share of its
 characters that stand in links and its number of words, those of the blocks before and after it,
 and in what it stands: an article, a heading, a part of the page that its tag or its class names
-as something else. A decision tree, trained on the small table below, tells text from the rest.
+as something else, firmly or by a loose name. A decision tree, trained on the small table below,
+tells text from the rest.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -20,49 +22,50 @@ from pyspark.sql import functions as F
 from fieldsignal.llm.common import longs, map_arrow
 
 FEATURES = (
-    "words", "links", "words_before", "links_before", "words_after", "links_after", "article", "heading", "aside"
+    "words", "links", "words_before", "links_before", "words_after", "links_after", "article", "heading", "aside", "loose"
 )
-# A small labelled table of blocks in the order of FEATURES, and 1 for text. Words
-# of the block and its neighbours are counted (-1: no neighbour), links are shares of characters.
+#: What can stand before and after a block: words and links of nothing, a short block, a text, a link.
+NEIGHBOURS = ((-1, 0.0), (1, 0.0), (40, 0.0), (1, 1.0))
+_FEW, _MANY = (1, 3, 6), (10, 25, 60, 110, 120, 300)
+_ALWAYS, _NEVER = "1111 1111 1111 1111", "0000 0000 0000 0000"
+# A small labelled table of kinds of blocks. Words and shares of links of the kind, then whether it
+# stands in an article, a heading, another part, a part of a loose name; then 1 for text by its neighbours: four
+# groups for nothing, short, text, link before it, in each the same four after it.
+KINDS = [
+    # an article: running text and headings at any place, a link alone, but not a run of short links
+    (_FEW + _MANY, (0.0, 0.2, 0.6), 1, 0, 0, 0, _ALWAYS),
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 1, 1, 0, 0, _ALWAYS),
+    (_FEW + (10,), (1.0,), 1, 0, 0, 0, "1110 1110 1110 0000"),
+    (_MANY[1:], (1.0,), 1, 0, 0, 0, _ALWAYS),
+    # pages without an article tag: text, also short lines, items and cells, but not leftovers among links
+    (_MANY, (0.0, 0.2), 0, 0, 0, 0, _ALWAYS),
+    (_MANY[2:], (0.6,), 0, 0, 0, 0, _ALWAYS),
+    (_FEW, (0.0, 0.2), 0, 0, 0, 0, "1110 1111 1111 0110"),
+    (_FEW + (10, 25), (0.6,), 0, 0, 0, 0, "0000 0110 0110 0000"),
+    (_FEW + _MANY, (1.0,), 0, 0, 0, 0, "0000 0110 0110 0000"),
+    # their headings, but not the short ones of lists of links
+    ((6, *_MANY), (0.0, 0.2, 0.6, 1.0), 0, 1, 0, 0, _ALWAYS),
+    ((1, 3), (0.0, 0.2, 0.6, 1.0), 0, 1, 0, 0, "0110 0110 0110 0110"),
+    # menus, bars, notices, adverts, forms, comments of any length, in an article or not
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 0, 0, 1, 0, _NEVER),
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 1, 0, 1, 0, _NEVER),
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 0, 1, 1, 0, _NEVER),
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 1, 1, 1, 0, _NEVER),
+    # names that builders of pages also give to wrappers of text: long unlinked text of an article alone
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 0, 0, 1, 1, _NEVER),
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 0, 1, 1, 1, _NEVER),
+    (_FEW + _MANY, (0.0, 0.2, 0.6, 1.0), 1, 1, 1, 1, _NEVER),
+    (_FEW + _MANY[:4], (0.0, 0.2, 0.6, 1.0), 1, 0, 1, 1, _NEVER),
+    (_MANY[4:], (0.0, 0.2), 1, 0, 1, 1, _ALWAYS),
+    (_MANY[4:], (0.6, 1.0), 1, 0, 1, 1, _NEVER),
+]
+#: The table as rows of FEATURES and the label.
 LABELLED = [
-    # running text inside an article, long and short, between others of its kind or at its edges
-    (85, 0.0, 60, 0.0, 70, 0.0, 1, 0, 0, 1), (12, 0.0, 85, 0.0, 40, 0.0, 1, 0, 0, 1),
-    (3, 0.0, 40, 0.0, 55, 0.0, 1, 0, 0, 1), (1, 0.0, 30, 0.0, 20, 0.0, 1, 0, 0, 1),
-    (48, 0.2, 12, 0.0, 60, 0.0, 1, 0, 0, 1), (20, 0.6, 50, 0.1, 33, 0.0, 1, 0, 0, 1),
-    (70, 0.0, 9, 0.0, 14, 0.1, 1, 0, 0, 1), (6, 0.0, 70, 0.0, 11, 0.3, 1, 0, 0, 1),
-    (150, 0.0, -1, 0.0, -1, 0.0, 1, 0, 0, 1), (9, 0.0, -1, 0.0, 30, 0.0, 1, 0, 0, 1),
-    (4, 1.0, 60, 0.0, 45, 0.0, 1, 0, 0, 1), (2, 0.0, 2, 0.0, 2, 0.0, 1, 0, 0, 1),
-    # headings of an article
-    (10, 0.0, 8, 0.0, 90, 0.0, 1, 1, 0, 1), (4, 0.0, 60, 0.0, 44, 0.0, 1, 1, 0, 1),
-    (9, 0.0, 3, 1.0, 5, 0.0, 1, 1, 0, 1), (7, 1.0, 5, 1.0, 80, 0.0, 1, 1, 0, 1),
-    # text of pages without an article tag
-    (85, 0.0, 40, 0.0, 70, 0.0, 0, 0, 0, 1), (35, 0.05, 60, 0.0, 22, 0.0, 0, 0, 0, 1),
-    (22, 0.0, 35, 0.0, 90, 0.0, 0, 0, 0, 1), (60, 0.1, 3, 1.0, 45, 0.0, 0, 0, 0, 1),
-    (9, 0.0, 55, 0.0, 64, 0.0, 0, 0, 0, 1), (5, 0.0, 48, 0.0, 80, 0.0, 0, 1, 0, 1),
-    (40, 0.0, 80, 0.0, 6, 0.2, 0, 0, 0, 1), (18, 0.0, 90, 0.0, 30, 0.0, 0, 0, 0, 1),
-    (8, 0.0, 4, 0.8, 75, 0.0, 0, 1, 0, 1), (120, 0.0, -1, 0.0, -1, 0.0, 0, 0, 0, 1),
-    # menus, bars, notices, adverts, forms, comments: named by their tag or class, in an article or not
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 1, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 1, 0),
-    (12, 0.0, 1, 1.0, 10, 0.0, 0, 0, 1, 0), (30, 0.0, 2, 1.0, 9, 0.0, 0, 0, 1, 0),
-    (14, 0.0, 60, 0.0, -1, 0.0, 0, 0, 1, 0), (45, 0.0, 50, 0.0, 40, 0.0, 0, 0, 1, 0),
-    (25, 0.0, 90, 0.0, 35, 0.0, 1, 0, 1, 0), (6, 0.0, 70, 0.0, 60, 0.0, 1, 0, 1, 0),
-    (80, 0.1, 40, 0.0, 12, 0.0, 1, 0, 1, 0), (3, 0.0, 40, 0.0, 25, 0.0, 0, 1, 1, 0),
-    (4, 0.0, 55, 0.0, 30, 0.0, 1, 1, 1, 0), (110, 0.0, 90, 0.0, 70, 0.0, 0, 0, 1, 0),
-    (2, 0.5, 5, 0.0, 4, 0.0, 1, 0, 1, 0), (9, 0.0, -1, 0.0, 85, 0.0, 0, 0, 1, 0),
-    # long unlinked text of an article inside a wrapper that is named as something else
-    (160, 0.0, 120, 0.0, 140, 0.0, 1, 0, 1, 1), (220, 0.0, 60, 0.0, -1, 0.0, 1, 0, 1, 1),
-    (180, 0.02, 5, 0.0, 90, 0.0, 1, 0, 1, 1), (300, 0.0, -1, 0.0, -1, 0.0, 1, 0, 1, 1),
-    # long text named as something else outside an article, and long linked text in one
-    (160, 0.0, 120, 0.0, 140, 0.0, 0, 0, 1, 0), (220, 0.0, 60, 0.0, -1, 0.0, 0, 0, 1, 0),
-    (180, 0.02, 5, 0.0, 90, 0.0, 0, 0, 1, 0), (300, 0.0, -1, 0.0, -1, 0.0, 0, 0, 1, 0),
-    (170, 0.7, 90, 0.0, 40, 0.0, 1, 0, 1, 0), (240, 0.5, 3, 0.0, 70, 0.0, 1, 0, 1, 0),
-    # short or linked leftovers outside an article
-    (1, 1.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 4, 0.9, 2, 1.0, 0, 0, 0, 0),
-    (6, 0.5, 5, 0.3, 4, 0.6, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (8, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0, 0), (5, 0.0, 4, 0.0, 6, 0.0, 0, 0, 0, 0),
-    (4, 0.0, 3, 0.9, 5, 0.0, 0, 1, 0, 0), (25, 0.8, 10, 0.9, 12, 0.7, 0, 0, 0, 0),
-    (7, 0.2, 2, 1.0, -1, 0.0, 0, 0, 0, 0), (3, 0.0, -1, 0.0, 1, 1.0, 0, 0, 0, 0),
-    (10, 0.9, 40, 0.0, 8, 1.0, 0, 0, 0, 0), (2, 1.0, 60, 0.0, -1, 0.0, 0, 0, 0, 0),
+    (words, share, *before, *after, article, heading, aside, loose, int(label))
+    for sizes, shares, article, heading, aside, loose, labels in KINDS
+    for words in sizes
+    for share in shares
+    for (before, after), label in zip(product(NEIGHBOURS, NEIGHBOURS), labels.replace(" ", ""))
 ]
 # Tags without text, tags that cut blocks, tags of other parts of a page, void tags,
 # and words in class, id or role that name such parts.
@@ -78,6 +81,8 @@ ASIDES = set("nav footer aside form header menu dialog fieldset".split())
 #: An article inside one of these is not reset to text.
 APART = ("article", "nav", "footer", "aside", "menu", "dialog")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+#: Names that say what a box is, not that it is apart from the text.
+LOOSE = set("widget side header masthead legal".split())
 _PARTS = (
     r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|banner|"
     r"cookies?|consent|notice|alert|popup|modal|overlay|ads?|advert|adverts|advertisement|advertising|sponsor|sponsored|"
@@ -99,6 +104,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"(?:\s|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: The top of an empty stack.
+OUTSIDE = ("", False, False, False, False, False)
 #: Closing one of these closes what is open inside it; an opened one closes an open one of its own.
 _SELF_CLOSING = {"p", "li", "dt", "dd", "tr", "td", "th"}
 
@@ -122,10 +129,11 @@ def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
 def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
     """The text blocks of a page in order: text with single spaces, and its features but the neighbours'.
 
-    Features: words, links, article, heading, aside.
+    Features: words, links, article, heading, aside, loose (aside by a loose name alone).
     """
     out: list[tuple[str, tuple[float, ...]]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, in an article, in a heading, in another part
+    # Tag, in an article, a heading, another part, one of a loose name, comments.
+    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []
     parts: list[str] = []
     standing: dict[str, int] = {}  # how often each tag is open
     linked = anchors = 0
@@ -135,9 +143,9 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                _, article, heading, aside = stack[-1] if stack else ("", False, False, False)
+                _, article, heading, aside, loose, _ = stack[-1] if stack else OUTSIDE
                 solid = max(1, len(text.replace(" ", "")))
-                out.append((text, (text.count(" ") + 1, min(1.0, linked / solid), article, heading, aside)))
+                out.append((text, (text.count(" ") + 1, min(1.0, linked / solid), article, heading, aside, loose)))
             parts.clear()
         linked = 0
 
@@ -196,23 +204,24 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
             continue
         if tag in _SELF_CLOSING and stack and stack[-1][0] == tag:
             standing[stack.pop()[0]] -= 1
-        _, article, heading, aside = stack[-1] if stack else ("", False, False, False)
+        _, article, heading, aside, loose, comment = stack[-1] if stack else OUTSIDE
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(token.group(4)))
+        named = [x.lower() for x in NAMED.findall(names) if not (article and x.lower() == "header")]
         if tag == "main":
-            article, aside = True, False
+            article, aside, loose, comment = True, False, False, False
         elif tag == "article":
             # It is the text of whatever its wrappers are named, but not one beside the text of another
             # article, in a part that a tag sets apart, or a comment.
-            kept = aside and any(standing.get(x) for x in APART)
-            article, aside = True, kept or bool(_COMMENT.search(names))
-        elif tag not in ("html", "body") and any(
-            not (article and x.lower() == "header") for x in NAMED.findall(names)
-        ):
-            aside = True
+            comment = comment or bool(_COMMENT.search(names))
+            aside = comment or (aside and any(standing.get(x) for x in APART))
+            article, loose = True, aside and loose and not comment
         elif tag in ASIDES and not (tag == "header" and article):
-            aside = True
+            aside, loose = True, False
+        elif tag not in ("html", "body") and named:
+            loose = (loose or not aside) and LOOSE.issuperset(named)
+            aside, comment = True, comment or bool(_COMMENT.search(names))
         standing[tag] = standing.get(tag, 0) + 1
-        stack.append((tag, article, heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6"), aside))
+        stack.append((tag, article, heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6"), aside, loose, comment))
     if at < len(html) and not (head or mute):
         parts.append(html[at:])
         if anchors:
@@ -223,13 +232,13 @@ def blocks(html: str) -> list[tuple[str, tuple[float, ...]]]:
 
 def features(found: list[tuple[str, tuple[float, ...]]]) -> np.ndarray:
     """A row of FEATURES for each block."""
-    own = np.array([f for _, f in found], dtype=float).reshape(-1, 5)
+    own = np.array([f for _, f in found], dtype=float).reshape(-1, 6)
     edge = np.array([[-1.0, 0.0]])
     around = np.concatenate([edge, own[:, :2], edge])
     return np.concatenate([own[:, :2], around[:-2], around[2:], own[:, 2:]], axis=1)
 
 
-def train(spark: SparkSession, rows: list[tuple] = LABELLED, depth: int = 6) -> list[tuple]:
+def train(spark: SparkSession, rows: list[tuple] = LABELLED, depth: int = 14) -> list[tuple]:
     """The nodes of a decision tree: (feature, threshold, left, right, label), feature -1 for leaves."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
