@@ -1,8 +1,9 @@
 """Token counts of whole texts without their ids.
 
 Every text is split into the tokenizer's pre-tokens; a task turns the texts of a chunk into one
-posting row per distinct pre-token: which texts hold it, and how often. The posting rows meet by
-pre-token, whose pieces are counted once for all of them, and the products are summed per text.
+posting row per distinct pre-token: which texts hold it, and how often. The posting rows of a
+group of chunks meet by pre-token, whose pieces are counted once for all of them, and the products
+are summed per text.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,10 @@ from fieldsignal.llm.common import longs, map_arrow, utf8
 
 #: Texts and bytes of a chunk at most (a longer text is a chunk of its own).
 CHUNK_TEXTS, CHUNK_BYTES = 60_000, 16 << 20
-#: A pre-token that stands in more texts of a chunk than this is dealt to SALTS tasks by chunk.
-HOT_TEXTS, SALTS = 256, 64
+#: A group holds the chunks of so many neighbouring partitions, up to so many of each: 96 at most.
+GROUP_PARTITIONS, GROUP_CHUNKS = 16, 6
+#: The pre-tokens of a group are dealt to so many buckets; each hands on one sum for a text at most.
+BUCKETS = 32
 
 # The pattern of byte-level pre-tokens, and the characters on whose class the
 # pattern engines of all Unicode versions agree. Texts with others go to the tokenizer as they are.
@@ -50,6 +54,12 @@ def _lengths(path: str, texts: list[str]) -> list[int]:
     return [len(x.ids) for x in load(path)[0].encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def group_of(number: int) -> int:
+    """The group of a chunk, whose number holds its partition and its place there."""
+    partition, serial = number >> 32, number & 0xFFFFFFFF
+    return (partition // GROUP_PARTITIONS) << 32 | serial // GROUP_CHUNKS
+
+
 def _chunk(path: str, ids: list, texts: list[bytes], number: int) -> Iterator[tuple]:
     split, plain = regex.compile(PRE_TOKEN).findall, regex.compile(PLAIN).fullmatch
     known, numbers = np.zeros(len(texts), dtype=np.int64), defaultdict(count().__next__)
@@ -64,7 +74,8 @@ def _chunk(path: str, ids: list, texts: list[bytes], number: int) -> Iterator[tu
             words.append(np.array(found, dtype=np.int64))
             sizes.append(len(found))
     head = np.array([[x is None, x or 0, len(t), n] for x, t, n in zip(ids, texts, known)], dtype=np.int64)
-    yield None, number % 1_000_003, number, head.tobytes()
+    group = group_of(number)
+    yield None, group, number % BUCKETS, number, head.tobytes()
     if not numbers:
         return
     pairs, often = np.unique(
@@ -80,11 +91,11 @@ def _chunk(path: str, ids: list, texts: list[bytes], number: int) -> Iterator[tu
     bounds = np.searchsorted(which, np.arange(len(numbers) + 1))
     for k, piece in enumerate(numbers):
         lo, hi = bounds[k], bounds[k + 1]
-        salt = number % SALTS if hi - lo > HOT_TEXTS else 0
-        yield piece, salt, number, text_of[lo:hi].tobytes() + amount[lo:hi].tobytes()
+        bucket = crc32(piece.encode()) % BUCKETS
+        yield piece, group, bucket, number, text_of[lo:hi].tobytes() + amount[lo:hi].tobytes()
 
 
-POSTINGS = "piece string, salt long, chunk long, body binary"
+POSTINGS = "piece string, group long, bucket long, chunk long, body binary"
 
 
 def _rows(rows: Iterator[tuple], types: list) -> Iterator[pa.RecordBatch]:
@@ -106,7 +117,9 @@ def _batch(rows: list[tuple], types: list) -> pa.RecordBatch:
     )
 
 
-_POSTING_TYPES = [("piece", pa.string()), ("salt", pa.int64()), ("chunk", pa.int64()), ("body", pa.binary())]
+_POSTING_TYPES = [
+    ("piece", pa.string()), ("group", pa.int64()), ("bucket", pa.int64()), ("chunk", pa.int64()), ("body", pa.binary())
+]
 _PARTIAL_TYPES = [("chunk", pa.int64()), ("head", pa.bool_()), ("body", pa.binary())]
 
 
@@ -132,26 +145,35 @@ def _postings(path: str):
 
 
 def _products(path: str):
-    """Postings sorted by pre-token to sums per chunk and text."""
+    """Postings sorted by group and pre-token to sums per chunk and text.
+
+    The sums of a group are held until its last posting: one array for each of its chunks.
+    """
 
     def flush(sums: dict) -> Iterator[tuple]:
         for chunk, total in sums.items():
             texts = np.flatnonzero(total)
-            yield chunk, False, texts.astype("<u2").tobytes() + total[texts].astype("<i8").tobytes()
+            yield chunk, False, texts.astype("<u2").tobytes() + total[texts].astype("<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            last, pieces, sums = None, 0, {}
+            last, pieces, held, sums = None, 0, None, {}
             for batch in batches:
-                names, chunks, bodies = (batch.column(k).to_pylist() for k in (0, 2, 3))
-                fresh = [x for k, x in enumerate(names) if x is not None and x != (names[k - 1] if k else last)]
+                names, groups, chunks, bodies = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
+                keys = list(zip(groups, names))
+                fresh = [key[1] for key, before in zip(keys, [last, *keys]) if key[1] is not None and key != before]
                 lengths = iter(_lengths(path, fresh))
-                for name, chunk, body in zip(names, chunks, bodies):
+                for key, chunk, body in zip(keys, chunks, bodies):
+                    group, name = key
+                    same, last = key == last, key
+                    if group != held:
+                        yield from flush(sums)
+                        held, sums = group, {}
                     if name is None:
                         yield chunk, True, body
                         continue
-                    if name != last:
-                        last, pieces = name, next(lengths)
+                    if not same:
+                        pieces = next(lengths)
                     n = len(body) // 3
                     total = sums.get(chunk)
                     if total is None:
@@ -161,9 +183,6 @@ def _products(path: str):
                     else:
                         texts = np.frombuffer(body, "<u2", n)
                         np.add.at(total, texts, np.frombuffer(body, np.uint8, n, 2 * n).astype(np.int64) * pieces)
-                if len(sums) > 100:
-                    yield from flush(sums)
-                    sums = {}
             yield from flush(sums)
 
         yield from _rows(rows(), _PARTIAL_TYPES)
@@ -178,8 +197,8 @@ def _totals(group: pa.Table) -> pa.Table:
         if is_head:
             head = np.frombuffer(body, np.int64).reshape(-1, 4)
         else:
-            n = len(body) // 10
-            totals[np.frombuffer(body, "<u2", n)] += np.frombuffer(body, "<i8", n, 2 * n)
+            n = len(body) // 6
+            totals[np.frombuffer(body, "<u2", n)] += np.frombuffer(body, "<u4", n, 2 * n)
     return pa.table(
         {
             "doc_id": pa.array(head[:, 1].copy(), mask=head[:, 0] == 1),
@@ -194,10 +213,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
 
     No added tokens are counted but those whose strings stand in the text. A null text is empty
     and has 0 tokens, a null id stays null, repeated rows are counted each; other columns are not
-    read. A pre-token in many texts is dealt to up to SALTS tasks, and counted once in each.
+    read. A pre-token is counted once for each group of chunks that holds it, so that a frequent one
+    is dealt by groups, and what a bucket of a group hands on is bounded by its texts.
+    Texts with characters outside PLAIN go to the tokenizer whole.
     """
     texts = docs.select(F.col(id_column).cast("long"), F.col(text_column))
     postings = map_arrow(texts, _postings(tokenizer), POSTINGS)
-    met = postings.repartition("piece", "salt").sortWithinPartitions("piece", "salt")
+    met = postings.repartition("group", "bucket").sortWithinPartitions("group", "piece")
     partial = map_arrow(met, _products(tokenizer), "chunk long, head boolean, body binary")
     return partial.groupBy("chunk").applyInArrow(_totals, "doc_id long, n_bytes long, n_tokens long")

@@ -83,6 +83,24 @@ def test_token_counts_of_repeated_rows_and_hot_pieces(spark):
     assert rows_of(found) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("partitions", [90, 300])
+def test_token_sums_are_handed_on_once_in_each_bucket(spark, partitions):
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    texts = [(k, " ".join(f"the w{(k * j) % 997}" for j in range(60))) for k in range(partitions * 3)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(partitions)
+    postings = tokens.map_arrow(frame, tokens._postings(path), tokens.POSTINGS)
+    batch = postings.sort("group", "piece").toArrow().combine_chunks()
+    chunks = set(zip(batch["group"].to_pylist(), batch["chunk"].to_pylist()))
+    groups = {group for group, _ in chunks}
+    assert len(groups) == -(-partitions // tokens.GROUP_PARTITIONS)
+    assert max(sum(g == x for x, _ in chunks) for g in groups) <= tokens.GROUP_PARTITIONS * tokens.GROUP_CHUNKS
+    assert {g for g, p in zip(batch["group"].to_pylist(), batch["piece"].to_pylist()) if p == " the"} == groups
+    # One task that reads every bucket hands on one sum for a chunk.
+    found = list(tokens._products(path)(iter(batch.to_batches())))
+    sums = [x for b in found for x, head in zip(b["chunk"].to_pylist(), b["head"].to_pylist()) if not head]
+    assert len(sums) == len(set(sums)) == len(chunks)
+
+
 def test_packing(docs, empty):
     path = queries.tokenizer_path("word_bpe_49k.json")
     tokenizer = tokenizers.Tokenizer.from_file(path)
