@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks and notice templates, in DataFrame functions.
 
 Blocks are the lines of a text, templates short notices, both sets of words. A template fits a
-block that holds at least ``threshold`` of its words. The words of the templates are put in order
+block that holds at least ``threshold`` of its words, among them those that name its license, and
+none that makes it another license. The words of the templates are put in order
 by the number of blocks that hold them in all texts, rarest first; a block that fits must hold a
 word of the template's prefix in that order. Blocks and prefixes meet by word; the sizes of both
 and the place of the first common word bound what they can still have in common, and the
@@ -28,6 +29,21 @@ PHRASES = [
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 ]
+#: For labels: the words that name the license, and the words that make it another one.
+NAMING = {
+    "mit": (["mit"], []),
+    "apache-2": (["apache", "2"], []),
+    "gpl-3": (["general", "public", "3"], ["lesser", "affero"]),
+    "gpl-2": (["general", "public", "2"], ["lesser", "affero"]),
+    "lgpl": (["lesser", "general", "public"], []),
+    "mpl-2": (["mozilla", "2"], []),
+    "bsd": (["redistribution"], []),
+    "cc-by-nc": (["cc", "by", "nc"], []),
+    "cc-by-sa": (["cc", "by", "sa"], ["nc"]),
+    "cc-by": (["cc", "by", "attribution"], ["nc", "sa", "nd", "noncommercial", "sharealike", "noderivatives"]),
+    "proprietary": (["all", "rights", "reserved"], []),
+    "unlicense": (["unencumbered"], []),
+}
 TEMPLATES = [
     ("licensed under the mit license", "mit"),
     ("released under the mit license", "mit"),
@@ -47,6 +63,12 @@ TEMPLATES = [
 ]
 
 
+def naming(template: str, label: str) -> tuple[list[str], list[str]]:
+    """The template's words that must stand in a block that it fits, and the words that must not."""
+    needed, barred = NAMING.get(label, ([], []))
+    return [w for w in needed if w in template.split()], barred
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
 
@@ -89,10 +111,13 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     for row in order:
         size = len(row["words"])
         need = math.ceil(threshold * size - 1e-9)
+        needed, barred = naming(templates[row["template"]][0], row["label"])
         for place, word in enumerate(row["words"][: size - need + 1]):
-            prefixes.append((word, row["template"], row["label"], list(row["words"]), need, place))
+            prefixes.append((word, row["template"], row["label"], list(row["words"]), need, place, needed, barred))
     prefix = spark.createDataFrame(
-        prefixes, "word string, template int, label string, template_words array<string>, need int, place int"
+        prefixes,
+        "word string, template int, label string, template_words array<string>, need int, place int,"
+        " needed array<string>, barred array<string>",
     )
     rare = F.array(*[F.lit(w) for w in sorted({x[0] for x in prefixes})])
     candidates = blocks.where(F.arrays_overlap("words", rare))
@@ -105,7 +130,8 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], threshold:
         & ~F.arrays_overlap("words", F.expr("slice(template_words, 1, place)"))
     )
     common = F.size(F.array_intersect("template_words", "words"))
-    return candidates.where(common >= F.col("need")).select(
+    named = (F.size(F.array_except("needed", "words")) == 0) & ~F.arrays_overlap("words", "barred")
+    return candidates.where((common >= F.col("need")) & named).select(
         "doc_id", "mark", "template", "label", (common / F.size("template_words")).alias("score")
     )
 

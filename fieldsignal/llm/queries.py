@@ -104,7 +104,10 @@ def _license_sql() -> str:
         f" - 1 AS place, '{label}' AS label FROM words"
         for p, label in ((phrase.split(), label) for phrase, label in licenses.PHRASES)
     )
-    templates = ", ".join(f"({_list(sorted(set(t.split())))}, '{label}')" for t, label in licenses.TEMPLATES)
+    templates = ", ".join(
+        f"({_list(sorted(set(t.split())))}, '{label}', {_list(needed)}::VARCHAR[], {_list(barred)}::VARCHAR[])"
+        for t, label, (needed, barred) in ((t, label, licenses.naming(t, label)) for t, label in licenses.TEMPLATES)
+    )
     line_words = _WORDS.replace("coalesce(text, '')", "line")
     return f"""
     WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -113,8 +116,9 @@ def _license_sql() -> str:
     lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
     blocks AS (SELECT doc_id, list_distinct({line_words}) AS b FROM lines),
     fits AS (SELECT doc_id, label, len(list_intersect(t, b)) / len(t) AS part
-             FROM blocks, (VALUES {templates}) AS templates(t, label)
-             WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9),
+             FROM blocks, (VALUES {templates}) AS templates(t, label, needed, barred)
+             WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9
+               AND list_has_all(b, needed) AND NOT list_has_any(b, barred)),
     found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(part) AS part FROM fits GROUP BY doc_id)
     SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first AS first_word, last AS last_word,
            coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

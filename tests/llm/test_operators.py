@@ -327,7 +327,8 @@ def license_row(text):
         block = set(words(line))
         for template, label in licenses.TEMPLATES:
             t = set(template.split())
-            if len(t & block) >= licenses.THRESHOLD * len(t) - 1e-9:
+            needed, barred = licenses.naming(template, label)
+            if len(t & block) >= licenses.THRESHOLD * len(t) - 1e-9 and block.issuperset(needed) and block.isdisjoint(barred):
                 labels.add(label)
                 best = max(best, len(t & block) / len(t))
     first, last = min(at, default=None), max(at, default=None)
@@ -342,6 +343,29 @@ def test_licenses(docs, empty):
     assert licenses.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("notice", "labels"),
+    [
+        ("Released under the MIT License.", "mit"),
+        ("Licensed under the Apache License, Version 2.0.", "apache-2"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl-3"),
+        ("This work is licensed under the GNU General Public License, version 2.", "gpl-2"),
+        ("Licensed under the GNU Lesser General Public License.", "lgpl"),
+        ("Licensed under the Mozilla Public License, version 2.0.", "mpl-2"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+        ("Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+        ("Licensed under CC BY 4.0.", "cc-by"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+        ("All rights reserved.", "proprietary"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+        ("Licensed under the license of the house.", ""),
+    ],
+)
+def test_notices_get_their_own_label_alone(spark, notice, labels):
+    frame = spark.createDataFrame([(1, f"Der Fluss.\n{notice}\nThe end.")], "doc_id long, text string")
+    assert licenses.scan(frame).first().labels == labels
+
+
 def url_row(url, rules):
     host = path = ""
     if url and "://" in url:
