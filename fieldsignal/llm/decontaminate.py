@@ -15,12 +15,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fieldsignal.llm.common import WORD_BYTES, longs, map_arrow, utf8
 
 WINDOW = 13
 #: Bytes of training texts of a shard, and of benchmark texts that go to the tasks in one block.
 SHARD_BYTES, BLOCK_BYTES = 6 << 20, 16 << 20
+#: Texts for which a block is prepared once.
+GROUP_BYTES = 32 << 20
 
 
 class Benchmark:
@@ -89,33 +93,63 @@ def _bound(words, array, test, starts, depth, upper: bool) -> np.ndarray:
         high[active] = np.where(go, high[active], middle)
 
 
-def longest_matches(words: np.ndarray, array: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
-    """Of every benchmark suffix in order: the words of its longest match in the shard, and where (-1: none)."""
+def look_up(words: np.ndarray, array: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, ...]:
+    """Binary search of every benchmark suffix in the suffix array of a shard.
+
+    Of every suffix in order: the words of its longest match and a place of it (-1: none). Then of
+    every place of a window: the number of the window, and the place.
+    """
     total = int(bench.ends[-1]) if len(bench.ends) else 0
     best, place = np.zeros(total, dtype=np.int64), np.full(total, -1, dtype=np.int64)
+    none = np.zeros(0, dtype=np.int64)
     if not total or not len(array):
-        return best, place
+        return best, place, none, none
     starts = np.arange(total)
     left = bench.ends[np.searchsorted(bench.ends, starts, side="right")] - starts
-    at = _bound(words, array, bench.words, starts, np.minimum(left, WINDOW), False)
-    for near in (at - 1, at):
+    depth = np.minimum(left, WINDOW)
+    lo = _bound(words, array, bench.words, starts, depth, False)
+    # A match shorter than a window is longest with one of the two suffixes beside the bound.
+    for near in (lo - 1, lo):
         known = np.flatnonzero((near >= 0) & (near < len(array)))
         where, size = array[near[known]], np.zeros(len(known), dtype=np.int64)
         open_ = np.arange(len(known))
         while len(open_):
             k = size[open_]
-            same = (k < left[known[open_]]) & (where[open_] + k < len(words))
+            same = (k < depth[known[open_]]) & (where[open_] + k < len(words))
             open_, k = open_[same], k[same]
             same = words[where[open_] + k] == bench.words[starts[known[open_]] + k]
             open_ = open_[same]
             size[open_] += 1
         better = size > best[known]
         best[known[better]], place[known[better]] = size[better], where[better]
-    return best, place
+    whole = np.flatnonzero(best[bench.starts] >= bench.lengths)
+    if not len(whole):
+        return best, place, none, none
+    first = lo[bench.starts[whole]]
+    count = _bound(words, array, bench.words, bench.starts[whole], bench.lengths[whole], True) - first
+    which = np.repeat(whole, count)
+    places = array[np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
+    # Windows that follow one another in an item and in a document are one longer match.
+    starts, owners = bench.starts[which], bench.owners[which]
+    order = np.lexsort((starts, places - starts, owners))
+    s, p, o = starts[order], places[order], owners[order]
+    last = np.r_[(np.diff(s) != 1) | (np.diff(p) != 1) | (np.diff(o) != 0), True]
+    end = np.flatnonzero(last)[np.searchsorted(np.flatnonzero(last), np.arange(len(s)))]
+    size = s[end] - s + bench.lengths[which[order]]
+    rank = np.lexsort((p, -size, s))
+    top = rank[np.r_[True, np.diff(s[rank]) != 0]]
+    best[s[top]], place[s[top]] = size[top], p[top]
+    return best, place, which, places
+
+
+def longest_matches(words: np.ndarray, array: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
+    """Of every benchmark suffix in order: the words of its longest match in the shard, and where (-1: none)."""
+    return look_up(words, array, bench)[:2]
 
 
 def search(texts: list[bytes], bench: Benchmark):
-    """Word counts, hit words, and (document, item) pairs of a shard, with the word arrays behind them."""
+    """Word counts, hit words, and (document, item) pairs of a shard, longest match and place of every
+    benchmark suffix, and the word arrays behind them."""
     ids, pad = bench.ids, len(bench.words) and WINDOW
     found = [x.translate(WORD_BYTES).split() for x in texts]
     sizes = np.array([len(x) for x in found], dtype=np.int64)
@@ -146,17 +180,12 @@ def search(texts: list[bytes], bench: Benchmark):
         theirs = np.searchsorted(runs, theirs * scale + following) + 1
         scale = np.int64(len(ids) + 1)
     array = suffix_array(words, starts, WINDOW)
-    lo = _bound(words, array, bench.words, bench.starts, bench.lengths, False)
-    hi = _bound(words, array, bench.words, bench.starts, bench.lengths, True)
-    count = hi - lo
-    which = np.repeat(np.arange(len(count)), count)
-    first = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + lo[which]
-    places = array[first] if len(first) else none
+    best, place, which, places = look_up(words, array, bench)
     np.add.at(hits, places, 1)
     np.add.at(hits, places + bench.lengths[which], -1)
     hits = np.cumsum(hits)[: len(words)] > 0
     docs = np.searchsorted(ends, places, side="right")
-    return sizes, hits, ends, docs, bench.owners[which], places, bench.lengths[which], words, array
+    return sizes, hits, ends, docs, bench.owners[which], best, place, words, array
 
 
 FOUND = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -171,40 +200,80 @@ def contaminated(n_hit: int, n_words: int) -> bool:
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    ids, texts, size = [], [], 0
+def _shards(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows of at most SHARD_BYTES of text (or one longer text), with the texts of column ``at``."""
+    held, texts, size = [], [], 0
     for batch in batches:
-        for x, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            ids.append(x)
+        lo = 0
+        for k, text in enumerate(utf8(batch.column(at))):
+            if texts and size + len(text) > SHARD_BYTES:
+                yield pa.concat_batches([*held, batch.slice(lo, k - lo)]), texts
+                held, texts, size, lo = [], [], 0, k
             texts.append(text)
             size += len(text)
-            if size > SHARD_BYTES:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+        held.append(batch.slice(lo))
     if texts:
-        yield ids, texts
+        yield pa.concat_batches(held), texts
 
 
-def _find(blocks: list):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prepared = [Benchmark(x.value) for x in blocks]
-        for ids, texts in _shards(batches):
-            items: list[set] = [set() for _ in texts]
-            hit, n_words, n_hit = None, [0] * len(texts), [0] * len(texts)
-            for bench in prepared:
-                sizes, hits, ends, docs, owners, *_ = search(texts, bench)
-                hit = hits if hit is None else hit | hits
-                for pair in np.unique(docs * max(1, len(bench.names)) + owners).tolist():
-                    doc, owner = divmod(pair, len(bench.names))
-                    items[doc].add(bench.names[owner])
-            if hit is None:
-                n_words = [len(x.translate(WORD_BYTES).split()) for x in texts]
+def _rounds(blocks: list, batches: Iterator[pa.RecordBatch], at: int):
+    """Groups of shards, with every shard and block of a group to be searched; one prepared block in memory at a time.
+
+    A block is prepared once for GROUP_BYTES of texts; the next group goes through the blocks the
+    other way round, so a single block is prepared once for a task.
+    """
+    state: dict = {"at": None, "bench": None, "back": False}
+
+    def search_all(group):
+        for k in reversed(range(len(blocks))) if state["back"] else range(len(blocks)):
+            if state["at"] != k:
+                state["bench"] = None  # the block before is let go first
+                state["at"], state["bench"] = k, Benchmark(blocks[k].value)
+            for shard, (_, texts) in enumerate(group):
+                yield shard, texts, state["bench"]
+        state["back"] = not state["back"]
+
+    group, size = [], 0
+    for shard in _shards(batches, at):
+        group.append(shard)
+        size += sum(map(len, shard[1]))
+        if size > GROUP_BYTES:
+            yield group, search_all(group)
+            group, size = [], 0
+    if group:
+        yield group, search_all(group)
+
+
+def _judged(blocks: list, batches: Iterator[pa.RecordBatch], at: int):
+    """Of every shard: its rows, words, hit words and the items with windows in each text."""
+    for group, steps in _rounds(blocks, batches, at):
+        hit: list = [None] * len(group)
+        counts: list = [None] * len(group)
+        items: list[list[set]] = [[set() for _ in texts] for _, texts in group]
+        for shard, texts, bench in steps:
+            sizes, hits, ends, docs, owners, *_ = search(texts, bench)
+            packed = np.packbits(hits[: int(ends[-1])])
+            hit[shard] = packed if hit[shard] is None else hit[shard] | packed
+            counts[shard] = (sizes, ends)
+            for pair in np.unique(docs * max(1, len(bench.names)) + owners).tolist():
+                doc, owner = divmod(pair, len(bench.names))
+                items[shard][doc].add(bench.names[owner])
+        for (rows, texts), packed, count, found in zip(group, hit, counts, items):
+            if packed is None:
+                n_words, n_hit = [len(x.translate(WORD_BYTES).split()) for x in texts], [0] * len(texts)
             else:
-                total = np.r_[0, np.cumsum(hit)]
+                sizes, ends = count
+                total = np.r_[0, np.cumsum(np.unpackbits(packed)[: int(ends[-1])])]
                 n_words, n_hit = sizes.tolist(), (total[ends] - total[ends - 1 - sizes]).tolist()
+            yield rows, n_words, n_hit, found
+
+
+def _find(blocks: list):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, n_words, n_hit, items in _judged(blocks, batches, 1):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, type=pa.int64()),
+                    rows.column(0),
                     longs(n_words),
                     longs(n_hit),
                     longs([len(x) for x in items]),
@@ -249,21 +318,56 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, all columns, that are not contaminated."""
-    blocks, fields = benchmark_blocks(benchmark, block_bytes), docs.schema
+    blocks, at = benchmark_blocks(benchmark, block_bytes), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, n_words, n_hit, _ in _judged(blocks, batches, at):
+            yield rows.filter(pa.array([not contaminated(a, b) for a, b in zip(n_hit, n_words)], type=pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)
+
+
+MATCH = ("start", "length", "doc_id", "place")
+
+
+def longest_verbatim(
+    docs: DataFrame, benchmark: DataFrame, min_words: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """item_id, start, length, doc_id, place: where every benchmark suffix stands longest in docs.
+
+    start is the first word of the suffix in its item, length the words of the match, place its
+    first word in the document; of equally long ones the smallest doc_id (null last), then place.
+    Suffixes without a match of ``min_words`` (the whole item, if that is shorter) have no row. A
+    shard hands on one row for a suffix and the maxima meet by suffix, pre-aggregated. Rows that
+    repeat an item_id are searched each, and the longest match of a start is kept. Null texts match nothing.
+    """
+    if min_words < 4:
+        raise ValueError("shards index suffixes by runs of four words")
+    blocks, kind = benchmark_blocks(benchmark, block_bytes), benchmark.schema["item_id"].dataType
+    schema = T.StructType([T.StructField("item_id", kind), *(T.StructField(x, T.LongType()) for x in MATCH)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prepared = [Benchmark(x.value) for x in blocks]
-        at = fields.fieldNames().index("text")
-        for batch in batches:
-            texts = utf8(batch.column(at))
-            hit, keep = None, np.ones(len(texts), dtype=bool)
-            for bench in prepared:
-                sizes, hits, ends, *_ = search(texts, bench)
-                hit = hits if hit is None else hit | hits
-            if hit is not None and len(texts):
-                total = np.r_[0, np.cumsum(hit)]
-                n_hit = total[ends] - total[ends - 1 - sizes]
-                keep = ~((n_hit > 0) & (20 * n_hit >= sizes))
-            yield batch.filter(pa.array(keep))
-
-    return map_arrow(docs, run, fields)
+        for group, steps in _rounds(blocks, batches, 1):
+            for shard, texts, bench in steps:
+                sizes, _, ends, _, _, best, place, *_ = search(texts, bench)
+                if not len(best):
+                    continue
+                owner = np.searchsorted(bench.ends, np.arange(len(best)), side="right")
+                begin = np.r_[0, bench.ends][owner]
+                found = np.flatnonzero(best >= np.minimum(min_words, bench.ends[owner] - begin))
+                doc = np.searchsorted(ends, place[found], side="right")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bench.names[k] for k in owner[found].tolist()], type=to_arrow_type(kind)),
+                        longs(found - begin[found]),
+                        longs(best[found]),
+                        group[shard][0].column(0).take(pa.array(doc)),
+                        longs(place[found] - (ends - 1 - sizes)[doc]),
+                    ],
+                    names=["item_id", *MATCH],
+                )
+
+    found = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
+    best = F.min(F.struct((-F.col("length")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "place"))
+    found = found.groupBy("item_id", "start").agg(best.alias("best"))
+    return found.select("item_id", "start", (-F.col("best.less")).alias("length"), "best.doc_id", "best.place")
