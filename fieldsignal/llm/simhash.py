@@ -21,9 +21,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fieldsignal.llm.common import LOWER, UPPER, free_name, map_arrow, same_key, utf8
 from fieldsignal.llm.components import components
@@ -60,15 +59,22 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(array), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id and fp (a signed long) of every row; a null text is empty."""
+def _marked(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """doc_id, a hash of the text, and fp (a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(x, words, seed) for x in utf8(batch.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+            made = np.array([fingerprint(x, words, seed) for x in utf8(batch.column(2))], dtype=np.uint64)
+            kept = [batch.column(0), batch.column(1)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(made.view(np.int64))], names=["doc_id", "hash", "fp"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("hash"), "text")
+    return map_arrow(rows, run, "doc_id long, hash long, fp long")
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
+    """doc_id and fp (a signed long) of every row; a null text is empty."""
+    return _marked(docs, words, seed).select("doc_id", "fp")
 
 
 def _segment(fp, at: int):
@@ -236,15 +242,14 @@ def links(nodes: DataFrame, limit: int = DISTANCE, crowded: int = CROWDED) -> Da
     return found.distinct()
 
 
-def _assigned(docs: DataFrame, words: int, seed: int, limit: int) -> DataFrame:
-    """doc_id, fp, root (the least fingerprint of the component), component_id of every row."""
-    marked = materialize(fingerprints(docs, words, seed))
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+def _rooted(docs: DataFrame, words: int, seed: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The marked rows, written; and of every fingerprint: fp, first (its least doc_id), best (its row to keep), root."""
+    marked = materialize(_marked(docs, words, seed))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "hash")).alias("best")
+    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), best))
     roots = materialize(components(links(nodes.select("fp"), limit)))
     named = same_key(nodes, roots.select(F.col("node").alias("fp"), "root"), ["fp"], "left")
-    named = named.select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
+    return marked, named.select("fp", "first", "best", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, seed: int = SEED, limit: int = DISTANCE) -> DataFrame:
@@ -256,28 +261,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, seed: int = SEED, limit
     Repeated rows stay. Only distinct fingerprints are compared: at most one row of each enters a
     cell, so copies cost nothing, and cells that many near-copies crowd are dealt again.
     """
-    return _assigned(docs, words, seed, limit).select(
+    marked, named = _rooted(docs, words, seed, limit)
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.join(named.join(least, "root").select("fp", "component_id"), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, seed: int = SEED, limit: int = DISTANCE) -> DataFrame:
-    """One row of docs, all columns, of each component: that of the smallest doc_id (null last)."""
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best")
-    kept = _assigned(docs, words, seed, limit).groupBy("root").agg(best)
-    mark, row = free_name(docs, "fp"), free_name(docs, "row")
-    kept = kept.select("best.doc_id", F.col("best.fp").alias(mark))
-    at, fields = docs.columns.index("text"), docs.schema
+    """One row of docs, all columns, of each component: that of the smallest doc_id (null last).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = np.array([fingerprint(x, words, seed) for x in utf8(batch.column(at))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(made.view(np.int64))], names=[*fields.fieldNames(), mark]
-            )
-
-    marked = map_arrow(docs, run, T.StructType([*fields.fields, T.StructField(mark, T.LongType())]))
-    found = same_key(marked, kept, ["doc_id", mark], "left_semi")
-    # Rows that repeat an id and a fingerprint are copies of one another.
-    first = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64("text"))
+    Rows of one id are ordered by fingerprint, then by a 64-bit hash of the text, which also finds
+    the row again: fingerprints are made once and texts are shuffled once. Rows that repeat an id
+    and a text are copies of one another, and one stays.
+    """
+    _, named = _rooted(docs, words, seed, limit)
+    kept = named.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.hash")
+    names = [free_name(docs, x) for x in ("id", "none", "hash")]
+    row = free_name(docs, "row")
+
+    def key(doc_id: Column, text_hash: Column) -> dict[str, Column]:
+        doc_id = doc_id.cast("long")
+        return dict(zip(names, (F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_hash)))
+
+    wanted = kept.select(*(x.alias(name) for name, x in key(F.col("doc_id"), F.col("hash")).items()))
+    found = docs.withColumns(key(F.col("doc_id"), F.xxhash64("text"))).join(wanted, names, "left_semi")
+    first = Window.partitionBy(*names).orderBy(names[2])
     return found.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)
