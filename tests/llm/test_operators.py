@@ -314,6 +314,46 @@ def test_longest_matches():
     assert best.tolist() == [4, 3, 0, 0, 3, 2, 1, 3, 0, 0] and place[0] == 1
 
 
+def longest_by_force(docs, items, window=13):
+    out = {}
+    for item_id, item in items:
+        w = words(item)
+        for start in range(len(w)):
+            for doc_id, text in docs:
+                d = words(text)
+                for place in range(len(d)):
+                    n = 0
+                    while start + n < len(w) and place + n < len(d) and w[start + n] == d[place + n]:
+                        n += 1
+                    if n >= min(window, len(w)):
+                        found = (-n, doc_id is None, doc_id or 0, place)
+                        out[item_id, start] = min(out.get((item_id, start), found), found)
+    return {(*k, -n, None if none else doc_id, place) for k, (n, none, doc_id, place) in out.items()}
+
+
+@pytest.mark.parametrize("shard_bytes, block_bytes", [(1 << 20, 1 << 20), (90, 60), (90, 1 << 20)])
+def test_longest_verbatim(spark, monkeypatch, shard_bytes, block_bytes):
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 3 * shard_bytes)
+    long = " ".join(f"w{k}" for k in range(40))
+    items = [(1, long), (2, "one two three"), (3, None), (4, " ".join(["a"] * 20)), (5, "q " + long), (1, "a a a")]
+    part = " ".join(f"w{k}" for k in range(5, 33))
+    rows = [
+        (10, f"x {part} y one two three"), (11, f"{part} w33 z"), (None, f"{long} end"), (12, None), (13, ""),
+        (14, " ".join(["a"] * 17)), (14, " ".join(["a"] * 17)), (15, "W1 w2 w3 one, two; THREE"), (16, " ".join(["z"] * 300)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    found = decontaminate.longest_verbatim(docs, bench, block_bytes=block_bytes)
+    assert {(r.item_id, r.start, r.length, r.doc_id, r.place) for r in found.collect()} == longest_by_force(rows, items)
+    judged = decontaminate.find_contamination(docs, bench, block_bytes)
+    assert rows_of(judged) == rows_of(decontaminate.find_contamination(docs, bench))
+    kept = decontaminate.remove_contaminated(docs, bench, block_bytes)
+    assert kept.count() == judged.where("not contaminated").count()
+    assert decontaminate.longest_verbatim(docs.limit(0), bench).count() == 0
+    assert decontaminate.longest_verbatim(docs, bench.limit(0)).count() == 0
+
+
 def license_row(text):
     w, at, base = words(text), [], set()
     for phrase, label in licenses.PHRASES:
@@ -634,3 +674,21 @@ def test_contamination_with_a_block_without_words(spark):
     found = decontaminate.find_contamination(docs, bench, 1)
     assert rows_of(found) == sorted(contamination(docs, items), key=str)
     assert [x.doc_id for x in decontaminate.remove_contaminated(docs, bench, 1).orderBy("doc_id").collect()] == [2, 3]
+
+
+def test_links_of_a_hub_are_dealt_to_buckets(spark):
+    from fieldsignal.llm.components import _with_least
+
+    links = spark.createDataFrame([(0, k) for k in range(1, 2001)] + [(5000, 5001)], "a long, b long")
+    laid = _with_least(links.selectExpr("b as v", "a as u"), 2001)
+    assert laid.groupBy("u", "bucket").count().agg({"count": "max"}).first()[0] < 100
+    assert {(r.u, r.m) for r in laid.select("u", "m").distinct().collect()} == {(0, 1), (5000, 5001)}
+    assert {r.root for r in components(links).collect()} == {0, 5000}
+
+
+def test_keep_one_with_repeated_rows_and_clashing_names(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(2, text, 1), (1, text, 2), (1, text, 2), (None, text, 3), (None, "alone here", 4), (7, None, 5), (8, "", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash int")
+    found = sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
+    assert found == sorted([(1, text, 2), (None, "alone here", 4), (7, None, 5)], key=str)
