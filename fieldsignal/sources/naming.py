@@ -65,29 +65,33 @@ def canonical_name(name: str) -> str:
     return next((c for c, known in SYNONYMS.items() if plain in known), plain)
 
 
+def canonical_places(names: list[str]) -> dict[str, list[int]]:
+    """Of every canonical name: the positions of the names that mean it, the earlier synonym first."""
+    groups: dict[str, list[int]] = {}
+    for i, name in enumerate(names):
+        groups.setdefault(canonical_name(name), []).append(i)
+
+    def precedence(canonical: str, i: int) -> int:
+        known = SYNONYMS.get(canonical, ())
+        plain = snake_case(names[i])
+        return known.index(plain) if plain in known else len(known)
+
+    return {c: sorted(members, key=lambda i: precedence(c, i)) for c, members in groups.items()}
+
+
+def first_of(columns: list[Column]) -> Column:
+    return columns[0] if len(columns) == 1 else F.coalesce(*columns)
+
+
 def to_canonical(df: DataFrame) -> DataFrame:
     """Rename columns to the canonical vocabulary; unknown names stay, in snake case.
 
     Columns that share a canonical name are coalesced, the earlier synonym first.
     """
-    groups: dict[str, list[str]] = {}
-    for c in df.columns:
-        groups.setdefault(canonical_name(c), []).append(c)
-
-    def precedence(canonical: str, c: str) -> int:
-        known = SYNONYMS.get(canonical, ())
-        plain = snake_case(c)
-        return known.index(plain) if plain in known else len(known)
-
     # Positions instead of names: names with dots or differing only by case stay apart.
     flat = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
-    place = {c: i for i, c in reversed(list(enumerate(df.columns)))}
-    selected = []
-    for canonical, members in groups.items():
-        ordered = sorted(members, key=lambda c: precedence(canonical, c))
-        columns = [F.col(f"_{place[c]}") for c in ordered]
-        selected.append((columns[0] if len(columns) == 1 else F.coalesce(*columns)).alias(canonical))
-    return flat.select(*selected)
+    places = canonical_places(df.columns)
+    return flat.select(*[first_of([F.col(f"_{i}") for i in at]).alias(c) for c, at in places.items()])
 
 
 def looks_environmental(columns: list[str]) -> bool:

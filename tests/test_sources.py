@@ -127,3 +127,31 @@ def test_deduplicate_merges_rows(spark):
     )
     got = [tuple(r) for r in clean.deduplicate(df, SeriesSpec(), "n").orderBy("timestamp").collect()]
     assert got == [("x", 1, 1.0, 5.0, "x"), ("x", 2, 3.0, 6.0, "y")]
+
+
+def test_many_sheets_are_one_scan(spark, tmp_path):
+    heads = ["Station ID,dateTime,airTemperature", "dateTime,soil-moisture,earthHumidity1,id", "datetime;x"]
+    sizes = {}
+    for count in (6, 200):
+        folder = tmp_path / f"set {count} [2024]"
+        folder.mkdir()
+        for k in range(count):
+            rows = [heads[k % 2], f"s{k},2024-01-01,{k}" if k % 2 == 0 else f"2024-01-02,,{k},s{k}"]
+            (folder / f"sheet {k}.csv").write_text("\n".join(rows) + "\n")
+        (folder / "empty.csv").write_text(heads[0] + ",battery\n")
+        (folder / "none.csv").write_text("")
+        (folder / "other.csv").write_text(heads[2] + "\n1;2\n")
+        stacked = tables.load_dataset(spark, str(folder), "2024")
+        found = {r.source_sheet: r for r in stacked.collect()}
+        assert len(found) == count and "battery" not in stacked.columns
+        for k in range(count):
+            row = found[f"sheet {k}"]
+            value = row.air_temperature if k % 2 == 0 else row.earth_humidity
+            assert (row.station_id, value, row.source_year) == (f"s{k}", str(k), "2024")
+        sizes[count] = len(stacked._jdf.queryExecution().optimizedPlan().treeString().splitlines())
+    assert sizes[6] == sizes[200]
+
+
+def test_header_names_of_repeated_and_blank_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,,a,b\n1,2,3,4\n")
+    assert tables._header_names("A,,a,b") == tables.read_table(spark, str(tmp_path / "a.csv")).columns
