@@ -60,46 +60,118 @@ def envelope(h: np.ndarray, start: int, size: int, points: np.ndarray, before=No
     return np.interp(np.arange(start, start + h.size), at, value)
 
 
-def first_mode(x: np.ndarray) -> np.ndarray:
-    """Repeated subtraction of the mean envelope, for a signal that is one whole block."""
-    h = x
-    for _ in range(SIFTS_PER_MODE):
-        peaks, troughs = turning_points(h)
-        if min(peaks.size, troughs.size) < MIN_EXTREMA:
-            break
-        h = h - (envelope(h, 0, h.size, peaks) + envelope(h, 0, h.size, troughs)) / 2
-    return h
-
-
-def window_mode(x: np.ndarray, start: int, size: int):
+def _turns(h: np.ndarray):
+    """Turning points of a piece; the short way where no two neighbours are equal or missing."""
+    step = h[1:] - h[:-1]
+    up = step > 0
+    if np.count_nonzero(up) + np.count_nonzero(step < 0) < step.size:
+        return turning_points(h)
+    turn = np.flatnonzero(up[1:] != up[:-1])
+    peak = up[turn]
+    return turn[peak] + 1, turn[~peak] + 1
+
+
+def _lines(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Straight lines through the samples at the sorted positions, from the first to the last of them."""
+    value, length = h[at], np.diff(at)
+    made = np.arange(at[0], at[-1] + 1.0)
+    made[:-1] -= np.repeat(at[:-1], length)
+    made[:-1] *= np.repeat(np.diff(value) / length, length)
+    made[:-1] += np.repeat(value[:-1], length)
+    made[-1] = value[-1]
+    return made
+
+
+def proven_mode(x: np.ndarray, start: int, size: int):
     """The first mode of a series of ``size`` samples, as far as a window of it from ``start`` proves it.
 
-    Returns the window's samples after all sifts and the part [low, high) where they are those of the
-    whole series; None if the window does not show that a sift goes on. A sift is known between the
-    outermost extrema of both kinds that are known, since envelopes do not look further; at an end of
-    the series it is known up to the end. A window of the whole series proves everything.
+    Returns the proven samples and their offset in the window; None if the window does not show that
+    a sift goes on. A sift is known between the outermost extrema of both kinds that are known, since
+    envelopes do not look further; at an end of the series it is known up to the end. A window of the
+    whole series proves everything.
     """
-    h, low, high = x, 0, x.size
+    h, low = x, 0
     to_left, to_right = start == 0, start + x.size == size
     for _ in range(SIFTS_PER_MODE):
-        part = h[low:high]
-        peaks, troughs = turning_points(part, start + low)
+        peaks, troughs = _turns(h)
         if min(peaks.size, troughs.size) < MIN_EXTREMA:
-            return (h, low, high) if to_left and to_right else None
-        middle = (envelope(part, start + low, size, peaks) + envelope(part, start + low, size, troughs)) / 2
-        h = h.copy()
-        h[low:high] -= middle
-        if not to_left:
-            low = int(max(peaks[0], troughs[0])) - start
-        if not to_right:
-            high = int(min(peaks[-1], troughs[-1])) - start + 1
-        if high <= low:
+            return (h, low) if to_left and to_right else None
+        ends = [p for p, known in ((0, to_left), (h.size - 1, to_right)) if known]
+        if ends:
+            peaks, troughs = (np.union1d(points, ends) for points in (peaks, troughs))
+        first, stop = max(peaks[0], troughs[0]), min(peaks[-1], troughs[-1]) + 1
+        if stop <= first:
             return None
+        upper, lower = (_lines(h, at)[first - at[0] : stop - at[0]] for at in (peaks, troughs))
+        h, low = h[first:stop] - (upper + lower) / 2, low + int(first)
+    return h, low
+
+
+def first_mode(x: np.ndarray) -> np.ndarray:
+    """Repeated subtraction of the mean envelope, for a signal that is one whole block."""
+    return proven_mode(x, 0, x.size)[0]
+
+
+def window_mode(x: np.ndarray, start: int, size: int):
+    """``proven_mode`` as (samples of the whole window, NaN where nothing is proven, low, high)."""
+    made = proven_mode(x, start, size)
+    if made is None:
+        return None
+    low, high = made[1], made[1] + made[0].size
+    h = np.full(x.size, np.nan)
+    h[low:high] = made[0]
     return h, low, high
 
 
+def noise_mode(seed: int, series: int, trial: int, start: int, stop: int, size: int, number: int):
+    """Mode ``number`` of a trial's noise (0: the noise itself) as far as the window [start, stop) proves it.
+
+    Returns its samples, or None for a noise that ends before, and their offset in the window; None if
+    the window does not prove which it is.
+    """
+    rest, low = white_noise(seed, series, trial, start, stop - start), 0
+    for k in range(1, number + 1):
+        made = proven_mode(rest, start + low, size)
+        if made is None:
+            return None
+        mode, skipped = made
+        low += skipped
+        if k == number:
+            return mode, low
+        rest = rest[skipped : skipped + mode.size] - mode
+        if not is_oscillating(rest):
+            return (None, 0) if rest.size == size else None
+    return rest, low
+
+
+def ensemble_mode(
+    x: np.ndarray, start: int, size: int, own: tuple[int, int], spread: float, number: int, trials: int, scale: float,
+    seed: int, series: int,
+):
+    """Mean over the trials of the first mode of a signal with mode ``number`` of their noise, for the positions
+    ``own`` of a window from ``start``; None if the window does not prove it for some trial.
+
+    A trial whose noise has no such mode goes on without noise.
+    """
+    found = []
+    for trial in range(1, trials + 1):
+        noise = noise_mode(seed, series, trial, start, start + x.size, size, number)
+        if noise is None:
+            return None
+        added, low = noise
+        disturbed = x if added is None else x[low : low + added.size] + added * spread * scale
+        made = proven_mode(disturbed, start + low, size)
+        if made is None:
+            return None
+        at = start + low + made[1]
+        if own[0] < at or at + made[0].size < own[1]:
+            return None
+        found.append(made[0][own[0] - at : own[1] - at])
+    return np.mean(np.stack(found), axis=0)
+
+
 def is_oscillating(h: np.ndarray) -> bool:
-    return sum(points.size for points in turning_points(h)) > 2
+    return sum(points.size for points in _turns(h)) > 2
 
 
 def all_modes(x: np.ndarray, limit: int) -> list[np.ndarray]:

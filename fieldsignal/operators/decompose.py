@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldsignal.functions import sifting
-from fieldsignal.session import materialize, ship_package
+from fieldsignal.session import materialize, passing_tables, ship_package
 from fieldsignal.spec import TARGET, SeriesSpec
 
 RESIDUE = 0  # number of the residue among the components; modes count from 1
 TRIAL = "trial"
 BLOCK = ("chunk", "start", "size")
+#: Samples after which a task hands on the blocks it has made.
+HELD_SAMPLES = 1_000_000
 
 
 # --- packing -------------------------------------------------------------------------
@@ -66,10 +68,22 @@ def _flat_map_blocks(
     schema = T.StructType([*kept, *extra])
     names = schema.names
 
+    def frame(rows: list[list]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=names, dtype=object)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [row | part for row in batch.to_dict("records") for part in kernel(row)]
-            yield pd.DataFrame([[row[n] for n in names] for row in rows], columns=names, dtype=object)
+            rows, held = [], 0
+            for values in batch.itertuples(index=False, name=None):
+                row = dict(zip(batch.columns, values))
+                for part in kernel(row):
+                    made = row | part
+                    rows.append([made[n] for n in names])
+                    held += sum(np.size(v) for v in rows[-1])
+                    if held > HELD_SAMPLES:
+                        yield frame(rows)
+                        rows, held = [], 0
+            yield frame(rows)
 
     ship_package(blocks.sparkSession)
     return blocks.mapInPandas(run, schema)
@@ -288,20 +302,26 @@ def sift_once(df: DataFrame, spec: SeriesSpec, column: str = TARGET, output: str
 
 #: Samples that a window shows beside its own at first, at least, and at most before its series goes sift by sift.
 FIRST_HALO, MOST_HALO = 256, 65_536
+#: The same for the windows of an ensemble, whose noise is sifted to its seventh mode in the window.
+ENSEMBLE_HALO = 4_096
 
 
-def _windows(blocks: DataFrame, keys: Sequence[str], width: int, halo: int, todo: DataFrame | None) -> DataFrame:
+def _windows(
+    blocks: DataFrame, keys: Sequence[str], width: int, halo: int, todo: DataFrame | None, carry: Sequence[str] = ()
+) -> DataFrame:
     """Windows of ``width`` own samples and up to ``halo`` of their neighbours' on each side, from blocks.
 
     ``todo`` limits them to some numbers ``target`` of some series, and to the blocks ``wanted`` of
     each. A block is cut for every window that shows a part of it, so tables grow by about 2 * halo / width.
+    Columns ``carry`` have one value in a series and stay; their windows are much work each, so they are dealt
+    to a fixed number of tasks, whatever their size in bytes.
     """
     last = F.col("start") + F.size("values") - 1
     targets = F.sequence(
         F.greatest(F.floor((F.col("start") - halo) / width), F.lit(0)),
         F.least(F.floor((last + halo) / width), F.floor((F.col("size") - 1) / width)),
     )
-    shown = blocks.select(*keys, "start", "size", "values", F.explode(targets).alias("target"))
+    shown = blocks.select(*keys, *carry, "start", "size", "values", F.explode(targets).alias("target"))
     if todo is None:
         shown = shown.withColumn("wanted", F.lit(None).cast("array<bigint>"))
     else:
@@ -309,55 +329,79 @@ def _windows(blocks: DataFrame, keys: Sequence[str], width: int, halo: int, todo
     low = F.greatest(F.col("start"), F.col("target") * width - halo)
     high = F.least(last + 1, (F.col("target") + 1) * width + halo)
     cut = F.slice("values", (low - F.col("start") + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int"))
-    parts = shown.select(*keys, "target", "size", "wanted", F.struct(low.alias("low"), cut.alias("values")).alias("part"))
+    part = F.struct(low.alias("low"), cut.alias("values")).alias("part")
+    parts = shown.select(*keys, *carry, "target", "size", "wanted", part)
+    if carry:
+        tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = parts.repartition(tasks, *keys, "target")
     ordered = F.sort_array(F.collect_list("part"))
-    grouped = parts.groupBy(*keys, "target", "size").agg(ordered.alias("_p"), F.first("wanted").alias("wanted"))
+    grouped = parts.groupBy(*keys, "target", "size").agg(
+        ordered.alias("_p"), *(F.first(c).alias(c) for c in ("wanted", *carry))
+    )
     return grouped.select(
-        *keys, "target", "size", "wanted", F.element_at("_p", 1)["low"].alias("low"),
+        *keys, *carry, "target", "size", "wanted", F.element_at("_p", 1)["low"].alias("low"),
         F.flatten(F.transform("_p", lambda p: p["values"])).alias("values"),
     )
 
 
-def _modes_by_windows(blocks: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
-    """First mode of long signals, all sifts of a window in its task.
+def _proven_by_windows(
+    blocks: DataFrame, keys: Sequence[str], block_rows: int, width: int, halo: int,
+    own_part: Callable[[dict, tuple[int, int]], np.ndarray | None], carry: Sequence[str] = (),
+) -> tuple[list[DataFrame], DataFrame | None]:
+    """What a helper makes of the windows of signals, as blocks, and the blocks that stay unproven (None without any).
 
-    Every window checks that its halo sufficed. Where it did not, blocks are looked at again in
-    windows four times as long, with a halo four times as wide. Series of which a part stays unproven
-    at MOST_HALO go sift by sift.
+    The helper gives the samples of a window's own positions, or None where its halo did not suffice.
+    There, blocks are looked at again in windows four times as long, with a halo four times as wide.
     """
-    width, halo, todo, found = block_rows, max(FIRST_HALO, block_rows // 8), None, []
+    todo, found = None, []
     fields = [T.StructField("chunk", T.LongType()), T.StructField("start", T.LongType()), VALUES,
               T.StructField("proven", T.BooleanType())]
     while True:
         def kernel(row: dict, width: int = width) -> list[dict]:
-            size, low = int(row["size"]), int(row["low"])
+            size = int(row["size"])
             own = int(row["target"]) * width, min((int(row["target"]) + 1) * width, size)
-            made = sifting.window_mode(_array(row["values"]), low, size)
-            proven = made is not None and low + made[1] <= own[0] and own[1] <= low + made[2]
+            made = own_part(row, own)
             starts = range(own[0], own[1], block_rows)
             if row["wanted"] is not None:
                 starts = [int(k) * block_rows for k in sorted(row["wanted"])]
             return [
                 {
-                    "chunk": at // block_rows, "start": at, "proven": proven,
-                    "values": made[0][at - low : min(at + block_rows, own[1]) - low] if proven else None,
+                    "chunk": at // block_rows, "start": at, "proven": made is not None,
+                    "values": None if made is None else made[at - own[0] : min(at + block_rows, own[1]) - own[0]],
                 }
                 for at in starts
             ]
 
-        shown = _windows(blocks, keys, width, halo, todo)
-        done = materialize(_flat_map_blocks(shown, fields, kernel, drop=("target", "low", "wanted")))
-        found.append(done.where("proven"))
+        shown = _windows(blocks, keys, width, halo, todo, carry)
+        done = materialize(_flat_map_blocks(shown, fields, kernel, drop=("target", "low", "wanted", *carry)))
+        found.append(done.where("proven").drop("proven"))
         failed = done.where(~F.col("proven"))
         if failed.isEmpty():
-            return _union([part.drop("proven") for part in found])
+            return found, None
         if 4 * halo > MOST_HALO:
-            break
+            return found, failed
         width, halo = 4 * width, 4 * halo
         number = F.floor(F.col("start") / width).alias("target")
         todo = failed.groupBy(*keys, number).agg(F.collect_set("chunk").alias("wanted"))
+
+
+def _modes_by_windows(blocks: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
+    """First mode of long signals, all sifts of a window in its task.
+
+    Every window checks that its halo sufficed. Series of which a part stays unproven at MOST_HALO go
+    sift by sift.
+    """
+
+    def own_part(row: dict, own: tuple[int, int]) -> np.ndarray | None:
+        made, low = sifting.proven_mode(_array(row["values"]), int(row["low"]), int(row["size"])) or (None, 0)
+        at = int(row["low"]) + low
+        return made[own[0] - at : own[1] - at] if made is not None and at <= own[0] and own[1] <= at + made.size else None
+
+    found, failed = _proven_by_windows(blocks, keys, block_rows, block_rows, max(FIRST_HALO, block_rows // 8), own_part)
+    if failed is None:
+        return _union(found)
     unproven = failed.select(*keys).distinct()
-    proven = _union(found).join(unproven, list(keys), "left_anti").drop("proven")
+    proven = _union(found).join(unproven, list(keys), "left_anti")
     rest = blocks.join(unproven, list(keys), "left_semi")
     for _ in range(sifting.SIFTS_PER_MODE):
         rest = materialize(_sift(rest, keys, store=True))
@@ -514,40 +558,16 @@ def ceemdan(
     Mode k+1 is the mean, over the trials, of the first mode of the rest plus
     ``noise_scale`` times the rest's spread times mode k of that trial's noise (the noise
     itself at first). Like the usual implementation, it gives up to ``max_imfs + 1``
-    modes before the residue. Trials and blocks are spread over the cluster; stages
-    follow one another, each ending in a written table.
+    modes before the residue. Windows are spread over the cluster and make the noise of all their
+    trials themselves, so no table is longer than the signal; stages follow one another, each ending
+    in a written table.
     """
-    keys, with_trial = spec.keys, [*spec.keys, TRIAL]
+    keys = spec.keys
     signal = materialize(to_blocks(df, spec, column))
     split_series = _has_split_series(signal, spec.block_rows)
-    noise = materialize(_noise(signal, spec, trials, seed))
-    noise_modes = materialize(decompose_blocks(noise, with_trial, spec.block_rows, max_imfs)).where(
-        F.col("component") != RESIDUE
-    )
     rest, found = signal, []
     for stage in range(max_imfs + 1):
-        added = noise if stage == 0 else noise_modes.where(F.col("component") == stage)
-        # The spread of a series is laid on its blocks first, so that its trials join by block.
-        laid = rest.select(*keys, "chunk").join(_spread(rest, keys), keys)
-        scaled = added.join(laid, [*keys, "chunk"]).select(
-            *with_trial,
-            "chunk",
-            F.transform("values", lambda w: w * F.col("_std") * noise_scale).alias("_w"),
-        )
-        # Trials whose noise has no such mode left go on without noise.
-        fanned = rest.withColumn(TRIAL, F.explode(F.sequence(F.lit(1), F.lit(trials))))
-        disturbed = (
-            fanned.join(scaled, [*with_trial, "chunk"], "left")
-            .withColumn(
-                "values",
-                F.when(F.col("_w").isNull(), F.col("values")).otherwise(
-                    F.zip_with("values", "_w", lambda x, w: x + w)
-                ),
-            )
-            .drop("_w")
-        )
-        modes = first_modes(disturbed, with_trial, spec.block_rows, split_series)
-        mode = materialize(_trial_mean(modes, keys))
+        mode = _ensemble_modes(rest, spec, stage, trials, noise_scale, seed)
         rest = _settle(rest, mode, keys, stage + 1, split_series, found)
         if rest.isEmpty():
             return from_blocks(_union(found), spec, keep=["component"])
@@ -555,6 +575,67 @@ def ceemdan(
     return from_blocks(_union(found), spec, keep=["component"])
 
 
+def _ensemble_modes(
+    rest: DataFrame, spec: SeriesSpec, stage: int, trials: int, noise_scale: float, seed: int
+) -> DataFrame:
+    """Mean first mode of the rest with mode ``stage`` of each trial's noise, by windows that prove their halo.
+
+    Series of which a part stays unproven at MOST_HALO take a table of all trials.
+    """
+    keys = spec.keys
+    halo, width = ENSEMBLE_HALO, spec.block_rows
+    while width < 8 * halo:
+        width *= 4
+    # The spread of a series is laid on its blocks' numbers first, then blocks join by number.
+    laid = rest.select(*keys, "chunk").join(_spread(rest, keys), keys)
+    known = rest.join(laid, [*keys, "chunk"]).withColumn("_series", F.xxhash64(*[F.col(k) for k in keys]))
+
+    def own_part(row: dict, own: tuple[int, int]) -> np.ndarray | None:
+        return sifting.ensemble_mode(
+            _array(row["values"]), int(row["low"]), int(row["size"]), own, row["_std"], stage, trials, noise_scale,
+            seed, int(row["_series"]),
+        )
+
+    found, failed = _proven_by_windows(known, keys, spec.block_rows, width, halo, own_part, ("_std", "_series"))
+    if failed is None:
+        return _union(found)
+    unproven = failed.select(*keys).distinct()
+    proven = _union(found).join(unproven, list(keys), "left_anti")
+    with passing_tables() as keep:
+        slow = rest.join(unproven, list(keys), "left_semi")
+        mode = keep(materialize(_ensemble_by_tables(slow, spec, stage, trials, noise_scale, seed)))
+    return proven.unionByName(mode)
+
+
+def _ensemble_by_tables(
+    rest: DataFrame, spec: SeriesSpec, stage: int, trials: int, noise_scale: float, seed: int
+) -> DataFrame:
+    """The same along tables that hold every trial of every block, for series of any length and shape."""
+    keys, with_trial = spec.keys, [*spec.keys, TRIAL]
+    rest = materialize(rest)
+    split_series = _has_split_series(rest, spec.block_rows)
+    added = materialize(_noise(rest, spec, trials, seed))
+    if stage:
+        added = decompose_blocks(added, with_trial, spec.block_rows, stage).where(F.col("component") == stage)
+    laid = rest.select(*keys, "chunk").join(_spread(rest, keys), keys)
+    scaled = added.join(laid, [*keys, "chunk"]).select(
+        *with_trial,
+        "chunk",
+        F.transform("values", lambda w: w * F.col("_std") * noise_scale).alias("_w"),
+    )
+    # Trials whose noise has no such mode left go on without noise.
+    fanned = rest.withColumn(TRIAL, F.explode(F.sequence(F.lit(1), F.lit(trials))))
+    disturbed = (
+        fanned.join(scaled, [*with_trial, "chunk"], "left")
+        .withColumn(
+            "values",
+            F.when(F.col("_w").isNull(), F.col("values")).otherwise(F.zip_with("values", "_w", lambda x, w: x + w)),
+        )
+        .drop("_w")
+    )
+    return _trial_mean(first_modes(materialize(disturbed), with_trial, spec.block_rows, split_series), keys)
+
+
 def attach_modes(df: DataFrame, modes: DataFrame, spec: SeriesSpec, count: int) -> DataFrame:
     """Append ``imf_1`` ... ``imf_<count>`` and ``imf_residue`` as columns; NULL where a
     series has fewer modes."""

@@ -173,3 +173,40 @@ def test_statistics_and_reconstruction(spark, signals):
     rebuilt = reconstruct.attach_reconstruction(df, modes, stats, spec, "v")
     gap = rebuilt.select(F.max(F.abs(F.col("v_reconstructed") + F.col("v_extracted_noise") - F.col("v")))).first()[0]
     assert gap < 1e-9
+
+
+@pytest.mark.parametrize("most_halo", [64, 65_536])
+def test_ensemble_by_windows_equals_the_tables_of_all_trials(spark, signals, monkeypatch, most_halo):
+    """Windows much shorter than the series, whose halos suffice, after growing or never; all noise modes take part."""
+    _, df = signals
+    rng = np.random.default_rng(6)
+    long = spark.createDataFrame(pd.DataFrame({"series_id": "n", "row_idx": range(900), "v": rng.normal(size=900)}))
+    spec = SeriesSpec(block_rows=16)
+    blocks = decompose.materialize(decompose.to_blocks(df.unionByName(long), spec, "v"))
+    monkeypatch.setattr(decompose, "ENSEMBLE_HALO", 16)
+    monkeypatch.setattr(decompose, "MOST_HALO", most_halo)
+    expected = decompose._ensemble_by_tables(blocks, spec, 2, 2, 0.2, 42).toPandas()
+    made = decompose._ensemble_modes(blocks, spec, 2, 2, 0.2, 42).toPandas()
+    both = expected.merge(made, on=["series_id", "chunk", "start", "size"], how="outer")
+    assert len(both) == len(expected) == len(made)
+    np.testing.assert_allclose(np.concatenate(both.values_x), np.concatenate(both.values_y), atol=1e-12)
+
+
+def test_ensemble_writes_no_table_longer_than_the_signal(spark, signals, monkeypatch):
+    """Before, the noise and its modes were written for every trial."""
+    pdf, df = signals
+    written, plain = [], decompose.materialize
+    monkeypatch.setattr(decompose, "materialize", lambda made: written.append(plain(made)) or written[-1])
+    decompose.ceemdan(df, SeriesSpec(block_rows=32), "v", max_imfs=2, trials=5).count()
+    samples = [t.agg(F.sum(F.size("values"))).first()[0] or 0 for t in written if "values" in t.columns]
+    assert samples and max(samples) <= len(pdf)
+
+
+def test_blocks_are_handed_on_before_a_task_is_done(spark, monkeypatch):
+    """A batch of long blocks is not held as a whole with all its modes."""
+    x = np.random.default_rng(3).normal(size=4000)
+    df = spark.createDataFrame(pd.DataFrame({"series_id": "s", "row_idx": range(x.size), "v": x})).coalesce(1)
+    blocks = decompose.to_blocks(df, SeriesSpec(block_rows=100), "v").coalesce(1)
+    monkeypatch.setattr(decompose, "HELD_SAMPLES", 250)
+    twice = decompose._flat_map_blocks(blocks, [decompose.VALUES], lambda row: [{"values": row["values"]}] * 2)
+    assert sorted(r.chunk for r in twice.collect()) == sorted([*range(40)] * 2)
