@@ -132,3 +132,61 @@ def test_best_first_parts_the_largest_open_gain():
     gains = {1: 5.0, 2: 9.0, 3: 6.0, 4: 7.0, 5: 1.0, 6: 8.0, 12: 10.0}
     assert boosting.best_first(gains, 5) == [1, 2, 4, 3] and boosting.best_first(gains, 31) == [1, 2, 4, 3, 6, 12, 5]
     assert boosting.best_first({}, 31) == []
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.float64])
+def test_leaves_equal_a_walk_of_each_row_and_are_small_numbers(kind):
+    rng = np.random.default_rng(2)
+    columns = rng.integers(0, 256, (4, 500)).astype(kind)
+    feature, limit = np.full(512, -1), np.zeros(512)
+    for node in (1, 2, 3, 5, 6, 10, 21, 42, 85):
+        feature[node], limit[node] = rng.integers(4), rng.integers(40, 215)
+    found = boosting.leaves(columns, feature, limit)
+    for row, leaf in enumerate(found):
+        node = 1
+        while feature[node] >= 0:
+            node = 2 * node + int(columns[feature[node], row] > limit[node])
+        assert leaf == node
+    assert found.dtype == np.uint8 and (boosting.leaves(columns, np.full(4, -1), np.zeros(4)) == 1).all()
+
+
+def test_rows_of_many_blocks_are_counted_at_once(monkeypatch):
+    """A count per block of a few rows would make a histogram for each; the trees are the same for any number."""
+    calls, plain = [], boosting.histograms
+    monkeypatch.setattr(boosting, "histograms", lambda *x: calls.append(x[0].shape[1]) or plain(*x))
+    one = BoostingPass()
+    for limit, expected in ((10_000, 1), (1, 6)):
+        monkeypatch.setattr(model, "HISTOGRAM_ROWS", limit)
+        calls.clear()
+        made = [batch.to_pylist() for batch in one.run()]
+        assert len(calls) == expected and sum(calls) == 60
+        assert limit == 10_000 or made == first
+        first = made
+
+
+class BoostingPass:
+    """One pass over six blocks of ten rows each, without Spark."""
+
+    def __init__(self):
+        import pyarrow as pa
+
+        rng = np.random.default_rng(1)
+        blocks = [
+            ("train", 10, rng.integers(0, 256, (2, 10)).astype(np.uint8).tobytes(), rng.integers(-99, 99, 10).tobytes(),
+             np.zeros(10).tobytes()) for _ in range(6)
+        ]
+        names = ["part", "n", "bins", "label", "score"]
+        self.batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*blocks)], names=names)
+
+    def run(self):
+        leaf = np.full(4, -1), np.zeros(4)
+        one = model._Pass(0, 1.0, 0.1, [], leaf, np.array([1]), [0, 1], 2, 1.0, 0, 1, False)
+        return list(one.count(iter([self.batch])))
+
+
+def test_bounds_of_each_feature_are_its_own(spark):
+    """Features are grouped apart; one without readings has no bounds."""
+    df = spark.createDataFrame([(float(k), float(k % 3), None) for k in range(600)], "a double, b double, c double")
+    (a, b, c), n = model.cuts(df.repartition(4), ["a", "b", "c"])
+    assert n == 600 and len(a) == 255 and list(b) == [0.0, 1.0, 2.0] and not len(c)
+    assert list(a[:3]) == [math.ceil(600 * q / 256) - 1 for q in (1, 2, 3)]
