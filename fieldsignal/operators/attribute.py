@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,29 +49,25 @@ def contributions(df: DataFrame, fitted: Fitted, spec: SeriesSpec) -> DataFrame:
     leaves = tree_leaves(fitted.model)
     base = treeshap.base_value(leaves)
     keys = [*spec.keys, spec.index]
-    schema = T.StructType(
-        [
-            *[df.schema[k] for k in keys],
-            T.StructField("feature", T.StringType()),
-            T.StructField("value", T.DoubleType()),
-            T.StructField("contribution", T.DoubleType()),
-            T.StructField("base_value", T.DoubleType()),
-        ]
-    )
+    numbers = T.ArrayType(T.DoubleType())
+    fields = [*[df.schema[k] for k in keys], T.StructField("value", numbers), T.StructField("contribution", numbers)]
+
+    def per_row(x: np.ndarray) -> pa.Array:
+        ends = np.arange(0, x.size + 1, len(names), dtype=np.int32)
+        return pa.ListArray.from_arrays(ends, pa.array(x.ravel(), pa.float64(), from_pandas=True))
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            parts = treeshap.contributions(x, leaves)
-            out = batch[keys].loc[batch.index.repeat(len(names))].reset_index(drop=True)
-            out["feature"] = np.tile(names, len(batch))
-            out["value"] = x.ravel()
-            out["contribution"] = parts.ravel()
-            out["base_value"] = base
-            yield out
+            columns = [batch.column(len(keys) + k).to_numpy(zero_copy_only=False) for k in range(len(names))]
+            x = np.stack(columns, axis=1).astype(float)
+            made = [*(batch.column(k) for k in range(len(keys))), per_row(x), per_row(treeshap.contributions(x, leaves))]
+            yield pa.RecordBatch.from_arrays(made, names=[*keys, "value", "contribution"])
 
     ship_package(spark)
-    return df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names]).mapInPandas(explain, schema)
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names]).mapInArrow(explain, T.StructType(fields))
+    features = F.array(*[F.lit(c) for c in names]).alias("feature")
+    # Rows stay whole between Python and Spark; only here they become one row for each feature.
+    return rows.select(*keys, F.inline(F.arrays_zip(features, "value", "contribution")), F.lit(base).alias("base_value"))
 
 
 def importance(parts: DataFrame, top: int | None = None) -> DataFrame:

@@ -190,3 +190,20 @@ def test_bounds_of_each_feature_are_its_own(spark):
     (a, b, c), n = model.cuts(df.repartition(4), ["a", "b", "c"])
     assert n == 600 and len(a) == 255 and list(b) == [0.0, 1.0, 2.0] and not len(c)
     assert list(a[:3]) == [math.ceil(600 * q / 256) - 1 for q in (1, 2, 3)]
+
+
+def test_contributions_leave_python_as_one_row_each(spark):
+    """Rows are taken apart by feature in Spark; before, Python made a row with a name for each feature."""
+    from fieldsignal.operators import attribute
+    from fieldsignal.spec import SeriesSpec
+
+    tree = boosting.Tree({1: 0}, {1: 0}, {1: 5.0}, {1: 0.0, 2: -1.0, 3: 3.0}, {1: 4, 2: 3, 3: 1}, {1: 1.0})
+    fitted = model.Fitted(model.BoostedTrees(["a", "b"], 10.0, 0.5, [tree]), [], [], 1)
+    df = spark.createDataFrame([("s", 0, 4.0, None), ("s", 1, 6.0, 2.0)], "series_id string, row_idx long, a double, b double")
+    made = attribute.contributions(df, fitted, SeriesSpec())
+    assert made.columns == ["series_id", "row_idx", "feature", "value", "contribution", "base_value"]
+    assert [tuple(r) for r in made.orderBy("row_idx", "feature").collect()] == [
+        ("s", 0, "a", 4.0, -0.5, 10.0), ("s", 0, "b", None, 0.0, 10.0), ("s", 1, "a", 6.0, 1.5, 10.0), ("s", 1, "b", 2.0, 0.0, 10.0),
+    ]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "MapInArrow" in plan
