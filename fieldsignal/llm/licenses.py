@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldsignal.llm.common import lower_ascii, same_key
+from fieldsignal.session import materialize
 
 THRESHOLD = 0.8
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -79,12 +80,21 @@ def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFra
     return spark.createDataFrame(rows, "template int, label string, word string")
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, words: the distinct words of every line."""
+def _blocks(docs: DataFrame, known: list[str]) -> DataFrame:
+    """doc_id, mark, size, words: of every line with some of the known words the number of its distinct
+    words, and which of the known ones they are."""
     lines = docs.select(
         "doc_id", F.xxhash64("text").alias("mark"), F.explode(F.split(lower_ascii(F.col("text")), "\n")).alias("line")
     )
-    return lines.select("doc_id", "mark", F.array_distinct(_words(F.col("line"))).alias("words"))
+    # The words are bound to a variable, so that they are extracted once for both columns.
+    some = F.array(*[F.lit(w) for w in known])
+    both = F.transform(
+        F.array(F.array_distinct(_words(F.col("line")))),
+        lambda words: F.struct(F.size(words).alias("size"), F.array_intersect(words, some).alias("words")),
+    )
+    # The outer form, as else a filter is inferred that extracts all words once more.
+    found = lines.select("doc_id", "mark", F.explode_outer(both).alias("block"))
+    return found.select("doc_id", "mark", "block.size", "block.words").where(F.size("words") > 0)
 
 
 def word_order(blocks: DataFrame, templates: DataFrame) -> DataFrame:
@@ -105,7 +115,9 @@ def word_order(blocks: DataFrame, templates: DataFrame) -> DataFrame:
 def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, mark (a hash of the text), template, label, score of every block that fits a template."""
     spark = docs.sparkSession
-    blocks = _blocks(docs)
+    known = {w for text, label in templates for words in (text.split(), *naming(text, label)) for w in words}
+    # Written once, short: the order of the words and the candidates both come from it.
+    blocks = materialize(_blocks(docs, sorted(known)))
     order = word_order(blocks, _templates(spark, templates)).collect()  # one row for each template
     prefixes = []
     for row in order:
@@ -125,7 +137,7 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     # Length: the block holds as many words as are needed. Position: this is the first common word
     # of the template's order, and enough words stand from it on.
     candidates = candidates.where(
-        (F.size("words") >= F.col("need"))
+        (F.col("size") >= F.col("need"))
         & (F.size("template_words") - F.col("place") >= F.col("need"))
         & ~F.arrays_overlap("words", F.expr("slice(template_words, 1, place)"))
     )

@@ -692,3 +692,13 @@ def test_keep_one_with_repeated_rows_and_clashing_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, hash int")
     found = sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
     assert found == sorted([(1, text, 2), (None, "alone here", 4), (7, None, 5)], key=str)
+
+
+def test_license_blocks_are_extracted_once(spark):
+    """The order of the words and the candidates come from one written table of known words; before, both split all lines."""
+    from fieldsignal.llm import licenses
+
+    rows = [(1, "Some prose, and more\nLicensed under the MIT License."), (2, "nothing known"), (3, None)]
+    fits = licenses.similar_blocks(spark.createDataFrame(rows, "doc_id long, text string"), licenses.TEMPLATES)
+    assert "regexp_extract_all" not in fits._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.doc_id, r.label, r.score) for r in fits.collect()} == {(1, "mit", 1.0), (1, "mit", 0.8)}
