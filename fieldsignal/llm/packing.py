@@ -11,12 +11,14 @@ has a bounded size; pieces then find their places in it by their rank among thos
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,33 +37,35 @@ BUCKETS = 256
 FULLNESS, PROGRESS, TAIL = 0.999, 0.02, 8
 #: Distinct lengths of a rest that is packed by the exact program at most, and its simplex steps.
 EXACT_LENGTHS, STEPS = 256, 600
+#: Bytes of the texts whose words are looked up together (a longer text is alone), and what a row counts beside its text.
+GROUP_BYTES, ROW_BYTES = 8 << 20, 100
 #: Words that a worker remembers.
 MEMO_WORDS = 600_000
 #: New word parts that are encoded as one text.
 JOINED = 2_000
 
-# The pre-tokens inside a word without white space, and the characters for which
-# lower-casing and white space are the same in the tokenizer and here.
+# The pre-tokens inside a word without white space, the ASCII characters that make one
+# pre-token behind letters, the characters other than those for which lower-casing and white space
+# are the same in the tokenizer and here, and the one that lower-casing makes two.
 WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
-PLAIN = r"[\u0009-\u000d -\u007f -˿]*"
+CLOSERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+NOT_PLAIN = r"[^\x{09}-\x{0d}\x{20}-\x{7f}\x{a0}-\x{2ff}]"
+DOTTED_I, DOTTED_I_LOWER = "\u0130", "i\u0307"
 
 
 class Memo(dict):
-    """Ids, as little-endian bytes, of lower-cased words that were met."""
+    """Ids, as little-endian bytes, of lower-cased words and parts of words that were met."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.normalizers import Sequence
-        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
-        from tokenizers.pre_tokenizers import Sequence as Steps
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit, Sequence
 
         super().__init__()
         self.tokenizer = load(path)[0]
         # For words that are normalised and split already, many in a text with spaces between.
-        self.inner = Tokenizer.from_file(path)
-        self.inner.normalizer = Sequence([])
-        self.inner.pre_tokenizer = Steps(
+        self.inner = Tokenizer(self.tokenizer.model)
+        self.inner.pre_tokenizer = Sequence(
             [CharDelimiterSplit(" "), ByteLevel(add_prefix_space=False, use_regex=False)]
         )
         self.split = regex.compile(WORD_PARTS).findall
@@ -69,13 +73,38 @@ class Memo(dict):
         self.closes = np.zeros(max(ids.values()) + 1, dtype=bool)  # the ids that end a word
         self.closes[[k for token, k in ids.items() if token.endswith(WORD_END)]] = True
 
-    def learn(self, words: set[str]) -> None:
-        """Take in the words that are not known yet."""
-        new = [w for w in words if w not in self]
+    def word_ids(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Binaries with the ids of different words, and the place of each word among them.
+
+        The closers behind letters are looked up apart, so that words that differ in them are one.
+        """
+        heads = pc.ascii_rtrim(words, CLOSERS)
+        heads = pc.if_else(pc.utf8_is_alpha(heads), heads, words)
+        closed = pc.subtract(pc.binary_length(words), pc.binary_length(heads)).to_numpy()
+        more = np.flatnonzero(closed)
+        tails = [w[-n:] for w, n in zip(_strings(words.take(pa.array(more))), closed[more].tolist())]
+        head_ids, tail_ids = self.ids(heads), self.ids(pa.array(tails, type=pa.large_string()))
+        whole = pc.binary_join_element_wise(head_ids.take(pa.array(more)), tail_ids, pa.scalar(b"", pa.large_binary()))
+        places = np.arange(len(words))
+        places[more] = len(words) + np.arange(len(more))
+        return pa.concat_arrays([head_ids, whole]), places
+
+    def ids(self, words: pa.Array) -> pa.Array:
+        """The ids of each word; those that are not known yet are taken in."""
+        met = words.dictionary_encode()
+        names = _strings(met.dictionary)
+        found = list(map(self.get, names))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        self.learn([names[k] for k in new])
+        for k in new:
+            found[k] = self[names[k]]
+        return pa.array(found, type=pa.large_binary()).take(met.indices)
+
+    def learn(self, new: list[str]) -> None:
+        """Take in words that are not known yet."""
         split = {w: self.split(w) for w in new if not w.isalpha()}
-        parts = {w for w in new if w.isalpha()}
-        parts.update(p for found in split.values() for p in found if p not in self)
-        parts = list(parts)
+        parts = [w for w in new if w not in split]
+        parts += {p for found in split.values() for p in found if p not in self}
         for lo in range(0, len(parts), JOINED):
             some = parts[lo : lo + JOINED]
             self.update(zip(some, self.encoded(some), strict=True))
@@ -92,28 +121,53 @@ class Memo(dict):
         return [held[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 @lru_cache(maxsize=2)
 def _memo(path: str) -> Memo:
     return Memo(path)
 
 
-def encode(path: str, texts: list[str]) -> list[bytes]:
-    """The ids of each text: by words where that is the same, else by the tokenizer."""
-    memo, added, plain = _memo(path), load(path)[1], regex.compile(PLAIN).fullmatch
+def encode(path: str, texts: pa.Array) -> list[bytes]:
+    """The ids of each text: by different words where that is the same, else by the tokenizer."""
+    memo, added = _memo(path), load(path)[1]
     if len(memo) > MEMO_WORDS:
         memo.clear()
-    words = [None if not plain(x) or any(a in x for a in added) else x.lower().split() for x in texts]
-    memo.learn(set().union(*(w for w in words if w)))
-    out = []
-    for text, found in zip(texts, words):
-        if found is None:
-            ids = memo.tokenizer.encode(text, add_special_tokens=False).ids
-            out.append(np.array(ids, dtype="<u4").tobytes())
-        else:
-            out.append(b"".join([memo[w] for w in found]))
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    odd = pc.match_substring_regex(texts, "|".join([NOT_PLAIN, *map(re.escape, added)]))
+    plain = pc.if_else(odd, pa.scalar("", pa.large_string()), texts)
+    words = pc.utf8_split_whitespace(pc.utf8_lower(pc.replace_substring(plain, DOTTED_I, DOTTED_I_LOWER)))
+    met = words.flatten().dictionary_encode()
+    known, places = memo.word_ids(met.dictionary)
+    places = places[met.indices.to_numpy()]
+    ids = known.take(pa.array(places))
+    sizes = pc.binary_length(known).to_numpy()[places]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])[words.offsets.to_numpy()].tolist()
+    held = memoryview(ids.buffers()[2] or b"")
+    out = [bytes(held[a:b]) for a, b in zip(bounds, bounds[1:])]
+    for k in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+        made = memo.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids
+        out[k] = np.array(made, dtype="<u4").tobytes()
     return out
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in groups of bounded bytes."""
+    held, size = [], 0
+    for batch in batches:
+        first = 0
+        for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+            if size and size + n > GROUP_BYTES:
+                yield pa.concat_batches([*held, batch.slice(first, k - first)])
+                held, size, first = [], 0, k
+            size += n + ROW_BYTES
+        held.append(batch.slice(first))
+    if size:
+        yield pa.concat_batches(held)
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -121,10 +175,9 @@ def _pieces(path: str, capacity: int, end_id: int):
     closing = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _groups(batches):
             rows = []
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(path, texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(path, batch.column(1))):
                 ids += closing
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -125,6 +126,59 @@ def test_packing(docs, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def pieces_of(texts, rows):
+    table = pa.table({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts, type=pa.string())})
+    run = packing._pieces(queries.tokenizer_path("word_bpe_49k.json"), 4096, 1)
+    return [x for made in run(iter(table.to_batches(max_chunksize=rows))) for x in made.to_pylist()]
+
+
+def test_packing_looks_words_up_once_for_many_texts(monkeypatch):
+    """Look-ups go with the different words, which closing punctuation does not make different."""
+    looked_up = []
+
+    class Counting(packing.Memo):
+        def get(self, word, *default):
+            looked_up.append(word)
+            return super().get(word, *default)
+
+        def __getitem__(self, word):
+            looked_up.append(word)
+            return super().__getitem__(word)
+
+        def __contains__(self, word):
+            looked_up.append(word)
+            return super().__contains__(word)
+
+    memo = Counting(queries.tokenizer_path("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "_memo", lambda path: memo)
+    words = [f"{a}{b}qu" for a in "abcdefghij" for b in "abcdefghij"]
+    texts = [" ".join(w + end for w in words for end in ("", ",", ".", "!", ").")) for _ in range(40)]
+    found = pieces_of(texts, 10)
+    assert len(found) == 40 and len({x["ids_crc32"] for x in found}) == 1
+    assert len(looked_up) <= 4 * len(words)  # 20,000 words, 500 different ones
+
+
+def test_packing_ids_of_odd_words():
+    """Every character that words are made of here or not, alone and between others, and groups of any size."""
+    tokenizer = tokenizers.Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json"))
+    texts = [f"{c} a{c} {c}B A{c}b {c},. x{c}. '{c}s' 7{c}! {c}{c}\"" for c in map(chr, range(0x320))]
+    texts += [None, "", " \n ", "it's dogs'. 'LL, we'll; <|ENDOFTEXT|> x<|endoftext|>y", "\u0130STANBUL, I\u0307", "a\u00bb, b\u00b7."]
+    texts += ["", None, "Wort. " * 20_000, "\u00e9t\u00e9!? " * 9_000] + ["-- 3.5 a-b " * 20] * 30
+    expected = []
+    for k, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        for start in range(0, len(ids), 4096):
+            part = ids[start : start + 4096]
+            row = (k, start // 4096, start, len(part), zlib.crc32(part.tobytes()))
+            expected.append(row)
+    for rows, size in ((1, 1), (7, 2_000), (1_000, 8 << 20)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(packing, "GROUP_BYTES", size)
+            assert [tuple(x.values()) for x in pieces_of(texts, rows)] == expected
+    assert pieces_of([], 1) == []
+
+
+
 @pytest.mark.parametrize("n", [1, 40, 20_000])
 def test_packing_plan_holds_every_piece(n):
     lengths = np.minimum(4096, np.random.default_rng(n).lognormal(6, 1.2, n).astype(int) + 1)
